@@ -115,16 +115,24 @@ def _all_orders(tokens: Column, max_n: int, sep: str) -> Column:
 
 
 def match_counts(
-    df: DataFrame, hyps: list[str], ref: str, max_n: int = 4, sep: str = " "
+    df: DataFrame,
+    hyps: list[str],
+    ref: str,
+    max_n: int = 4,
+    sep: str = " ",
+    coded_limit: int = CODED_LIMIT,
 ) -> DataFrame:
     """Add ``<hyp>_match``: clipped n-gram matches against ``ref`` for n = 1..max_n, as an array.
 
     Also adds ``<hyp>_len`` and ``<ref>_len``; n-gram totals follow from the lengths.
+    ``coded_limit`` may be raised for small alphabets, up to the size at which codes overflow.
     """
     sides = [*hyps, ref]
     out = df.withColumns({f"{c}_len": F.size(c) for c in sides})
     longest = reduce(F.greatest, [F.col(f"{c}_len") for c in sides])
-    coded = (longest <= CODED_LIMIT) & F.lit(max_n <= CODED_MAX_ORDER)
+    if (coded_limit + 1) ** max_n >= 2**63:
+        raise ValueError(f"n-gram codes of order {max_n} overflow beyond a limit of {coded_limit}")
+    coded = (longest <= coded_limit) & F.lit(max_n <= CODED_MAX_ORDER)
     out = out.withColumn("__coded", coded)
     no_codes = F.array().cast("array<bigint>")
 
