@@ -252,21 +252,27 @@ tagged AS (SELECT *, {", ".join(f"list_transform({s}, lambda t: {_tag_sql('t')})
   FROM words)"""
 
 
-def _prf_ctes(name: str, columns: dict[str, str], source: str) -> str:
-    """CTE <name>(id, h1_p1.., h1_r1.., h1_f1.., h1_mean, h2_…) for token columns of ``source``."""
+def _prf_ctes(
+    name: str,
+    columns: dict[str, str],
+    source: str,
+    size: str = "len",
+    gram: str = "array_to_string(t[i:i + n - 1], ' ')",
+) -> str:
+    """CTE <name>(id, h1_0 .. h1_12, h2_0 ..) of P, R, F and mean P for columns of ``source``."""
     sides = " UNION ALL ".join(f"SELECT id, '{s}' AS side, {c} AS t FROM {source}" for s, c in columns.items())
     h, r = "l.len_h", "l.len_r"
     per_order = f"""
 {name}_sides AS ({sides}),
-{name}_pos AS (SELECT id, side, n, t, unnest(range(1, len(t) - n + 2)) AS i
+{name}_pos AS (SELECT id, side, n, t, unnest(range(1, {size}(t) - n + 2)) AS i
   FROM {name}_sides, range(1, 5) AS o(n)),
-{name}_cnt AS (SELECT id, side, n, array_to_string(t[i:i + n - 1], ' ') AS g, count(*) AS c
+{name}_cnt AS (SELECT id, side, n, {gram} AS g, count(*) AS c
   FROM {name}_pos GROUP BY ALL),
 {name}_match AS (SELECT a.id, a.side, a.n, sum(least(a.c, coalesce(b.c, 0)))::BIGINT AS m
   FROM {name}_cnt a LEFT JOIN {name}_cnt b ON b.side = 'ref' AND b.id = a.id AND b.n = a.n AND b.g = a.g
   WHERE a.side <> 'ref' GROUP BY ALL),
-{name}_len AS (SELECT a.id, a.side, o.n, greatest(len(a.t) - o.n + 1, 0) AS len_h,
-    greatest(len(b.t) - o.n + 1, 0) AS len_r
+{name}_len AS (SELECT a.id, a.side, o.n, greatest({size}(a.t) - o.n + 1, 0) AS len_h,
+    greatest({size}(b.t) - o.n + 1, 0) AS len_r
   FROM {name}_sides a JOIN {name}_sides b ON b.id = a.id AND b.side = 'ref', range(1, 5) AS o(n)
   WHERE a.side <> 'ref'),
 {name}_pr AS (SELECT l.id, l.side, l.n, {h} AS h,
@@ -287,8 +293,9 @@ def _prf_ctes(name: str, columns: dict[str, str], source: str) -> str:
     return f"{per_order},\n{name} AS (SELECT id, {', '.join(cols)} FROM {name}_prf GROUP BY id)"
 
 
-_CHARS = {s: f"string_split({s}_text, '')" for s in FX.SIDES}
-_CHAR_PRF = _prf_ctes("char_prf", {s: f"CASE WHEN {s}_text = '' THEN [] ELSE {c} END" for s, c in _CHARS.items()}, "words")
+_CHAR_PRF = _prf_ctes(
+    "char_prf", {s: f"{s}_text" for s in FX.SIDES}, "words", "length", "substr(t, i, n)"
+)
 _WORD_PRF = _prf_ctes("word_prf", {s: s for s in FX.SIDES}, "words")
 _TAG_PRF = _prf_ctes("tag_prf", {s: f"{s}_tags" for s in FX.SIDES}, "tagged")
 _PAIR_PRF = _prf_ctes(
