@@ -2,8 +2,9 @@
 
 A text pair is matched inside its row. Short rows use integer n-gram codes: a token's code is
 its first position in the reference (0 when absent), and an n-gram's code is its tokens' codes
-read as digits in base ``len(ref) + 1``, which is collision-free. Rows too long for that use
-the n-gram strings. Both give the same, exact counts.
+read as digits in base ``len(ref) + 1``, which is collision-free. Characters use their code
+points as digits. Rows outside the limits of the codes use the n-gram strings. All give the
+same, exact counts.
 """
 
 from __future__ import annotations
@@ -13,11 +14,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Longest side, in tokens, for which codes are used; (192 + 1) ** 5 < 2 ** 63.
+from versus.functions.expr import let
+
+# Longest side, in tokens, for which codes are used; (192 + 1) ** 5 * TAG_BASE < 2 ** 63.
 CODED_LIMIT = 192
 # Largest product of sizes for which membership is tested pair by pair.
 PAIRWISE_LIMIT = 40_000
 CODED_MAX_ORDER = 5
+# Characters below this code point are coded; 8192 ** 4 * TAG_BASE < 2 ** 63.
+CHARACTER_BASE = 8_192
+# Fewer repeats than this are numbered instead of merged.
+TAG_BASE = 512
 
 
 def ngram_strings(tokens: Column, n: int | Column, sep: str = " ") -> Column:
@@ -30,16 +37,34 @@ def ngram_strings(tokens: Column, n: int | Column, sep: str = " ") -> Column:
     return F.when(F.size(tokens) >= n, windows).otherwise(F.array().cast("array<string>"))
 
 
+def with_ngram_columns(df: DataFrame, tokens: str, max_n: int, sep: str = " ") -> DataFrame:
+    """Add ``<tokens>_<n>`` for n = 2..max_n, each built by extending the order below by one token."""
+    size = F.size(tokens)
+    lower = tokens
+    for n in range(2, max_n + 1):
+        extended = F.zip_with(
+            F.slice(lower, F.lit(1), size - (n - 1)),
+            F.slice(tokens, F.lit(n), size - (n - 1)),
+            lambda g, t: F.concat(g, F.lit(sep), t),
+        )
+        df = df.withColumn(
+            f"{tokens}_{n}",
+            F.when(size >= n, extended).otherwise(F.array().cast("array<string>")),
+        )
+        lower = f"{tokens}_{n}"
+    return df
+
+
 def ngram_total(length: Column, n: int) -> Column:
     return F.greatest(length - (n - 1), F.lit(0))
 
 
 def _repeats(items: Column) -> Column:
     """Every occurrence after the first, of each item."""
-    return F.transform(
-        F.array(F.sort_array(items)),
+    return let(
+        F.sort_array(items),
         lambda s: F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1))),
-    )[0]
+    )
 
 
 def _merge(left: Column, right: Column) -> Column:
@@ -79,25 +104,53 @@ def _merge(left: Column, right: Column) -> Column:
         return F.struct(clipped.alias("clipped"), hits.alias("hits"))
 
     zero = F.lit(0)
-    return F.transform(
-        F.array(tagged),
+    return let(
+        tagged,
         lambda items: F.aggregate(
             items, state(F.get(items, F.lit(0))["g"], zero, zero, zero, zero), step, finish
         ),
-    )[0]
+    )
+
+
+def _numbered(items: Column) -> Column:
+    """Sorted integer codes, each extended by its place among its equals."""
+    return let(
+        items,
+        lambda s: F.transform(s, lambda x, i: x * TAG_BASE + (i - F.array_position(s, x) + 1)),
+    )
+
+
+def _clipped_repeats(left: Column, right: Column, codes: bool) -> Column:
+    """Multiset intersection of two bags of repeats."""
+    merged = _merge(left, right)["clipped"]
+    if not codes:
+        return merged
+    few = (F.size(left) < TAG_BASE) & (F.size(right) < TAG_BASE)
+    return F.when(
+        few, F.size(F.array_intersect(_numbered(left), _numbered(right)))
+    ).otherwise(merged)
+
+
+def has_repeats(items: Column) -> Column:
+    return F.size(F.array_distinct(items)) < F.size(items)
 
 
-def clipped_overlap(left: Column, right: Column) -> Column:
+def clipped_overlap(
+    left: Column, right: Column, codes: bool = False, right_repeats: Column | None = None
+) -> Column:
     """Size of the multiset intersection of two arrays.
 
     One hash intersection of distinct items settles every row in which either side has no
-    repeats; only the repeats of both sides, if any, are merged in sorted order.
+    repeats. The repeats of both sides, if any, are intersected apart: as numbered codes when
+    the items are integer ``codes``, else by a sorted merge.
     """
     once = F.size(F.array_intersect(left, right))
-    both_repeat = (F.size(F.array_distinct(right)) < F.size(right)) & (
-        F.size(F.array_distinct(left)) < F.size(left)
+    in_right = has_repeats(right) if right_repeats is None else right_repeats
+    again = let(
+        F.struct(_repeats(left).alias("l"), _repeats(right).alias("r")),
+        lambda z: _clipped_repeats(z["l"], z["r"], codes),
     )
-    return once + F.when(both_repeat, _merge(_repeats(left), _repeats(right))["clipped"]).otherwise(0)
+    return once + F.when(in_right & has_repeats(left), again).otherwise(0)
 
 
 def bag_hits(hyp: Column, ref: Column) -> Column:
@@ -109,6 +162,14 @@ def bag_hits(hyp: Column, ref: Column) -> Column:
 
 
 
+def _positions(tokens: Column, ref: Column) -> Column:
+    return F.transform(tokens, lambda t: F.array_position(ref, t))
+
+
+def _code_points(characters: Column) -> Column:
+    return F.transform(characters, lambda c: F.ascii(c).cast("long"))
+
+
 def _all_orders(tokens: Column, max_n: int, sep: str) -> Column:
     orders = F.sequence(F.lit(1), F.lit(max_n))
     return F.transform(orders, lambda n: ngram_strings(tokens, n, sep))
@@ -121,62 +182,78 @@ def match_counts(
     max_n: int = 4,
     sep: str = " ",
     coded_limit: int = CODED_LIMIT,
+    characters: bool = False,
 ) -> DataFrame:
     """Add ``<hyp>_match``: clipped n-gram matches against ``ref`` for n = 1..max_n, as an array.
 
     Also adds ``<hyp>_len`` and ``<ref>_len``; n-gram totals follow from the lengths.
     ``coded_limit`` may be raised for small alphabets, up to the size at which codes overflow.
+    With ``characters`` every token is one character and its code point is its code.
     """
     sides = [*hyps, ref]
+    limit = CHARACTER_BASE - 1 if characters else coded_limit
+    if max_n > CODED_MAX_ORDER or (limit + 1) ** max_n * TAG_BASE >= 2**63:
+        raise ValueError(f"n-gram codes of order {max_n} overflow beyond a limit of {limit}")
     out = df.withColumns({f"{c}_len": F.size(c) for c in sides})
-    longest = reduce(F.greatest, [F.col(f"{c}_len") for c in sides])
-    if (coded_limit + 1) ** max_n >= 2**63:
-        raise ValueError(f"n-gram codes of order {max_n} overflow beyond a limit of {coded_limit}")
-    coded = (longest <= coded_limit) & F.lit(max_n <= CODED_MAX_ORDER)
-    out = out.withColumn("__coded", coded)
-    no_codes = F.array().cast("array<bigint>")
+    orders = range(1, max_n + 1)
 
-    out = out.withColumns(
-        {
-            f"__{c}_1": F.when(
-                F.col("__coded"), F.transform(c, lambda t: F.array_position(F.col(ref), t))
-            )
-            for c in sides
-        }
-    )
-    base = F.col(f"{ref}_len").cast("long") + 1
-    for n in range(2, min(max_n, CODED_MAX_ORDER) + 1):
+    if characters:
+        out = out.withColumns({f"__{c}_1": _code_points(F.col(c)) for c in sides})
+        highest = reduce(
+            F.greatest, [F.coalesce(F.array_max(f"__{c}_1"), F.lit(0)) for c in sides]
+        )
+        out = out.withColumn("__coded", highest < CHARACTER_BASE)
+        base = F.lit(CHARACTER_BASE).cast("long")
+    else:
+        longest = reduce(F.greatest, [F.col(f"{c}_len") for c in sides])
+        out = out.withColumn("__coded", longest <= coded_limit)
+        out = out.withColumns(
+            {f"__{c}_1": F.when(F.col("__coded"), _positions(F.col(c), F.col(ref))) for c in sides}
+        )
+        base = F.col(f"{ref}_len").cast("long") + 1
+
+    coded = F.col("__coded")
+    for n in orders[1:]:
         out = out.withColumns(
             {
-                f"__{c}_{n}": F.when(F.col(f"{c}_len") < n, no_codes).otherwise(
+                f"__{c}_{n}": F.when(
+                    coded & (F.col(f"{c}_len") >= n),
                     F.zip_with(
                         F.slice(f"__{c}_{n - 1}", F.lit(1), F.col(f"{c}_len") - (n - 1)),
                         F.slice(f"__{c}_1", F.lit(n), F.col(f"{c}_len") - (n - 1)),
                         lambda g, w: g * base + w,
-                    )
-                )
+                    ),
+                ).otherwise(F.array().cast("array<bigint>"))
                 for c in sides
             }
         )
-    orders = range(1, min(max_n, CODED_MAX_ORDER) + 1)
     out = out.withColumns(
         {
-            **{f"__{c}_codes": F.array(*[F.col(f"__{c}_{n}") for n in orders]) for c in sides},
+            **{f"__repeats_{n}": coded & has_repeats(F.col(f"__{ref}_{n}")) for n in orders},
             **{
-                f"__{c}_grams": F.when(
-                    ~F.col("__coded"),
-                    _all_orders(F.col(c), max_n, sep),
-                )
-                for c in sides
+                f"__{c}_grams": F.when(~coded, _all_orders(F.col(c), max_n, sep)) for c in sides
             },
         }
     )
+    # One expression per order, outside of lambdas, so that the intersections are compiled.
     out = out.withColumns(
         {
             f"{h}_match": F.when(
-                F.col("__coded"),
-                F.zip_with(f"__{h}_codes", f"__{ref}_codes", clipped_overlap),
-            ).otherwise(F.zip_with(f"__{h}_grams", f"__{ref}_grams", clipped_overlap))
+                coded,
+                F.array(
+                    *[
+                        clipped_overlap(
+                            F.col(f"__{h}_{n}"),
+                            F.col(f"__{ref}_{n}"),
+                            True,
+                            F.col(f"__repeats_{n}"),
+                        )
+                        for n in orders
+                    ]
+                ),
+            ).otherwise(
+                F.zip_with(f"__{h}_grams", f"__{ref}_grams", lambda a, b: clipped_overlap(a, b))
+            )
             for h in hyps
         }
     )

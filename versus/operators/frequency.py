@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from versus.functions.ngrams import ngram_strings
+from versus.functions.ngrams import with_ngram_columns
 from versus.operators.lookup import HOT_SHARE, lookup
 from versus.session import materialize
 
@@ -15,12 +15,6 @@ QUARTILES = (1, 2, 3, 4)
 BUCKET_DIGITS = 4
 
 
-def _gram_structs(tokens: Column, n: int) -> Column:
-    return F.transform(
-        ngram_strings(tokens, n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
-    )
-
-
 def explode_grams(
     df: DataFrame, sides: list[str], max_n: int, keys: tuple[str, ...] = ("id",)
 ) -> DataFrame:
@@ -31,9 +25,14 @@ def explode_grams(
             F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("tokens")) for s in sides])
         ),
     )
-    tokens = F.col("tokens")
-    grams = F.concat(*[_gram_structs(tokens, n) for n in range(1, max_n + 1)])
-    return per_side.select(*keys, "side", F.inline(grams))
+    arrays = with_ngram_columns(per_side, "tokens", max_n)
+    columns = ["tokens", *[f"tokens_{n}" for n in range(2, max_n + 1)]]
+    by_order = F.array(
+        *[F.struct(F.lit(n).alias("n"), F.col(c).alias("g")) for n, c in enumerate(columns, 1)]
+    )
+    return arrays.select(*keys, "side", F.inline(by_order)).select(
+        *keys, "side", "n", F.explode("g").alias("gram")
+    )
 
 
 def sentence_gram_counts(df: DataFrame, sides: list[str], max_n: int) -> DataFrame:
