@@ -135,22 +135,23 @@ def has_repeats(items: Column) -> Column:
     return F.size(F.array_distinct(items)) < F.size(items)
 
 
-def clipped_overlap(
-    left: Column, right: Column, codes: bool = False, right_repeats: Column | None = None
-) -> Column:
-    """Size of the multiset intersection of two arrays.
+def _again(left: Column, right: Column, codes: bool) -> Column:
+    """What the repeats of two bags add to the intersection of their distinct items."""
+    return let(
+        F.struct(_repeats(left).alias("l"), _repeats(right).alias("r")),
+        lambda z: _clipped_repeats(z["l"], z["r"], codes),
+    )
+
+
+def clipped_overlap(left: Column, right: Column) -> Column:
+    """Size of the multiset intersection of two arrays of strings.
 
     One hash intersection of distinct items settles every row in which either side has no
-    repeats. The repeats of both sides, if any, are intersected apart: as numbered codes when
-    the items are integer ``codes``, else by a sorted merge.
+    repeats. The repeats of both sides, if any, are intersected apart.
     """
     once = F.size(F.array_intersect(left, right))
-    in_right = has_repeats(right) if right_repeats is None else right_repeats
-    again = let(
-        F.struct(_repeats(left).alias("l"), _repeats(right).alias("r")),
-        lambda z: _clipped_repeats(z["l"], z["r"], codes),
-    )
-    return once + F.when(in_right & has_repeats(left), again).otherwise(0)
+    both_repeat = has_repeats(right) & has_repeats(left)
+    return once + F.when(both_repeat, _again(left, right, False)).otherwise(0)
 
 
 def bag_hits(hyp: Column, ref: Column) -> Column:
@@ -235,24 +236,37 @@ def match_counts(
             },
         }
     )
-    # One expression per order, outside of lambdas, so that the intersections are compiled.
+    # Intersections and tests are one expression per order, outside of lambdas, so that they
+    # are compiled; only orders in which both sides repeat something go through the lambda.
+    out = out.withColumns(
+        {
+            **{f"__{c}_codes": F.array(*[F.col(f"__{c}_{n}") for n in orders]) for c in sides},
+            **{
+                f"__{h}_once": F.array(
+                    *[F.size(F.array_intersect(f"__{h}_{n}", f"__{ref}_{n}")) for n in orders]
+                )
+                for h in hyps
+            },
+            **{
+                f"__{h}_both": F.array(
+                    *[F.col(f"__repeats_{n}") & has_repeats(F.col(f"__{h}_{n}")) for n in orders]
+                )
+                for h in hyps
+            },
+        }
+    )
+
+    def with_repeats(h: str) -> Column:
+        def total(once: Column, i: Column) -> Column:
+            again = _again(F.get(f"__{h}_codes", i), F.get(f"__{ref}_codes", i), True)
+            return once + F.when(F.get(f"__{h}_both", i), again).otherwise(0)
+
+        return F.transform(f"__{h}_once", total)
+
     out = out.withColumns(
         {
-            f"{h}_match": F.when(
-                coded,
-                F.array(
-                    *[
-                        clipped_overlap(
-                            F.col(f"__{h}_{n}"),
-                            F.col(f"__{ref}_{n}"),
-                            True,
-                            F.col(f"__repeats_{n}"),
-                        )
-                        for n in orders
-                    ]
-                ),
-            ).otherwise(
-                F.zip_with(f"__{h}_grams", f"__{ref}_grams", lambda a, b: clipped_overlap(a, b))
+            f"{h}_match": F.when(coded, with_repeats(h)).otherwise(
+                F.zip_with(f"__{h}_grams", f"__{ref}_grams", clipped_overlap)
             )
             for h in hyps
         }

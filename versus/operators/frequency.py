@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from versus.functions.ngrams import with_ngram_columns
-from versus.operators.lookup import HOT_SHARE, lookup
+from versus.operators.lookup import MAX_BROADCAST_ROWS, lookup
 from versus.session import materialize
 
 ORDERS = (1, 2, 3, 4)
 QUARTILES = (1, 2, 3, 4)
+# Grams with at least this share of all occurrences are looked up by broadcast; there can be
+# no more of them than a broadcast table may have rows.
+HOT_SHARE = 1.0 / MAX_BROADCAST_ROWS
 # Leading hex digits of a gram's hash used to narrow down a quartile boundary.
 BUCKET_DIGITS = 4
 

@@ -199,7 +199,7 @@ QUERIES = {
 
 # ---------------------------------------------------------------- oracle SQL
 
-_WORDS = r"""
+WORDS = r"""
 texts AS (SELECT id, array_to_string(h1, ' ') AS h1_text, array_to_string(h2, ' ') AS h2_text,
   array_to_string(ref, ' ') AS ref_text FROM triples),
 words AS (SELECT id, h1_text, h2_text, ref_text,
@@ -220,7 +220,7 @@ def _hyp_grams(max_n: int = 4) -> str:
     return O.sides_of("words", ("h1", "h2")) + "," + O.grams_of(max_n)
 
 
-_CORPUS = ",".join([O.TRIPLES, _WORDS, _hyp_grams(), _FREQ])
+_CORPUS = ",".join([O.TRIPLES, WORDS, _hyp_grams(), _FREQ])
 _CORPUS_RANKED = _CORPUS + "," + _RANKED
 
 _SHARES = f"""
@@ -293,7 +293,7 @@ def _prf_ctes(
     return f"{per_order},\n{name} AS (SELECT id, {', '.join(cols)} FROM {name}_prf GROUP BY id)"
 
 
-_CHAR_PRF = _prf_ctes(
+CHAR_PRF = _prf_ctes(
     "char_prf", {s: f"{s}_text" for s in FX.SIDES}, "words", "length", "substr(t, i, n)"
 )
 _WORD_PRF = _prf_ctes("word_prf", {s: s for s in FX.SIDES}, "words")
@@ -352,7 +352,7 @@ def _prf_out(name: str, size: int) -> str:
     return _rounded({h: [f"{h}_{i}" for i in range(size)] for h in FX.HYPS}, name)
 
 
-_TAG_CTES = (O.TRIPLES, _WORDS, _TAGGED)
+_TAG_CTES = (O.TRIPLES, WORDS, _TAGGED)
 
 
 def _feature_sql() -> str:
@@ -383,7 +383,7 @@ def _feature_sql() -> str:
         _TAGGED,
         _split_sql().format(source="tagged"),
         f"details AS (SELECT id, {details} FROM split)",
-        _CHAR_PRF,
+        CHAR_PRF,
         _TAG_PRF,
         _PAIR_PRF,
         f"""SELECT d.id, {", ".join(f"round({e}, 6) AS f_{i}" for i, e in enumerate(values))}
@@ -421,8 +421,8 @@ FROM corpus GROUP BY ALL""",
         _SHARES,
         f"SELECT id, side, {', '.join(f'round(share_{n}_{q}, 6) AS share_{n}_{q}' for n in FQ.ORDERS for q in FQ.QUARTILES)} FROM shares",
     ),
-    "char_ngram_prf": O.with_ctes(O.TRIPLES, _WORDS, _CHAR_PRF, _prf_out("char_prf", 13)),
-    "word_ngram_prf": O.with_ctes(O.TRIPLES, _WORDS, _WORD_PRF, _prf_out("word_prf", 13)),
+    "char_ngram_prf": O.with_ctes(O.TRIPLES, WORDS, CHAR_PRF, _prf_out("char_prf", 13)),
+    "word_ngram_prf": O.with_ctes(O.TRIPLES, WORDS, _WORD_PRF, _prf_out("word_prf", 13)),
     "pos_ngram_prf": O.with_ctes(*_TAG_CTES, _TAG_PRF, _prf_out("tag_prf", 12)),
     "mixed_ngram_precision": O.with_ctes(*_TAG_CTES, _PAIR_PRF, _prf_out("pair_prf", 4)),
     "pos_class_diff": O.with_ctes(
@@ -443,7 +443,7 @@ FROM corpus GROUP BY ALL""",
     ),
     "match_split": O.with_ctes(
         O.TRIPLES,
-        _WORDS,
+        WORDS,
         _split_sql().format(source="words"),
         "SELECT id, "
         + ", ".join(

@@ -9,5 +9,5 @@ _FAMILIES = [metric_queries, feature_queries, vector_queries]
 QUERIES = {name: query for family in _FAMILIES for name, query in family.QUERIES.items()}
 ORACLE = {name: sql for family in _FAMILIES for name, sql in family.ORACLE.items()}
 
-# The stream's final state equals the batch result, and a merged vector is checked by its parts.
+# The stream's final state equals the batch result.
 ORACLE["stream_confusion"] = ORACLE["confusion_matrix"]

@@ -17,6 +17,8 @@ from versus.operators import scaling as SC
 from versus.operators.frequency import build_frequencies
 from versus.plans import fixtures as X
 from versus.plans import oracle_base as O
+from versus.plans.feature_queries import CHAR_PRF as _CHAR_PRF
+from versus.plans.feature_queries import WORDS as _WORDS
 from versus.session import materialize, scratch_dir
 from versus.sources import tables as TB
 from versus.sources import text as TX
@@ -519,6 +521,40 @@ def _cv_ctes() -> tuple[str, ...]:
     )
 
 
+def _grid_sql() -> str:
+    distance = (
+        "sqrt(list_sum(list_transform(range(1, len(q.f) + 1), "
+        "lambda i: (q.f[i] - t.f[i]) * (q.f[i] - t.f[i]))))"
+    )
+    return O.with_ctes(
+        _SCALED,
+        _STRATA,
+        _ANOVA.format(source="unit"),
+        """chosen AS (SELECT 100 AS percentile, * FROM unit UNION ALL SELECT 50, * FROM unit
+  WHERE dim IN (SELECT dim FROM scores WHERE f > (SELECT quantile_cont(f, 0.5) FROM scores)))""",
+        """points AS (SELECT percentile, id, any_value(u.label) AS label, any_value(fold) AS fold,
+    list(v ORDER BY dim) AS f FROM chosen u JOIN strata USING (id) GROUP BY percentile, id)""",
+        f"""distances AS (SELECT q.percentile, q.id, t.id AS train_id, t.label, round({distance}, 9) AS dist
+  FROM points q JOIN points t ON q.percentile = t.percentile AND q.fold <> t.fold)""",
+        """near AS (SELECT *, max((dist = 0)::INTEGER) OVER (PARTITION BY percentile, id) AS z FROM (
+  SELECT *, row_number() OVER (PARTITION BY percentile, id ORDER BY dist, train_id) AS rank FROM distances)
+  WHERE rank <= 5)""",
+        """tally AS (
+  SELECT percentile, 'uniform' AS weights, id, label, count(*)::DOUBLE AS w FROM near GROUP BY ALL
+  UNION ALL
+  SELECT percentile, 'distance', id, label,
+    round(sum(CASE WHEN z = 1 THEN (dist = 0)::INTEGER::DOUBLE ELSE 1.0::DOUBLE / dist END), 9)
+  FROM near GROUP BY ALL)""",
+        """winners AS (SELECT percentile, weights, id, label AS pred FROM (
+  SELECT *, row_number() OVER (PARTITION BY percentile, weights, id ORDER BY w DESC, label) AS r FROM tally)
+  WHERE r = 1)""",
+        """fold_scores AS (SELECT w.percentile, weights, fold, avg((pred = label)::INTEGER::DOUBLE) AS accuracy
+  FROM winners w JOIN points p ON p.percentile = w.percentile AND p.id = w.id GROUP BY ALL)""",
+        """SELECT percentile, weights, round(avg(accuracy), 6) AS mean, round(stddev_pop(accuracy), 6) AS std
+FROM fold_scores GROUP BY ALL""",
+    )
+
+
 ORACLE = {
     "wordvec_mean": O.with_ctes(*_EMBED_CTES, _means_sql(), _AVERAGED),
     "wordvec_tfidf": O.with_ctes(*_EMBED_CTES, _ROW_IDF, _means_sql(*_ROW_JOIN), _AVERAGED),
@@ -575,6 +611,15 @@ FROM char_df""",
         """SELECT fold, count(*) AS n, (count(*) FILTER (pred = label)) AS n_right,
   round((count(*) FILTER (pred = label))::DOUBLE / count(*), 6) AS accuracy
 FROM winners JOIN points USING (id) GROUP BY fold""",
+    ),
+    "knn_grid": _grid_sql(),
+    "vector_merge": O.with_ctes(
+        *_EMBED_CTES,
+        _WORDS,
+        _CHAR_PRF,
+        _means_sql(),
+        f"""SELECT m.id, (120 + 3 * {DIM})::INTEGER AS size, round(c.h1_0, 6) AS first, round(m.v, 6) AS first_mean
+FROM means m JOIN char_prf c ON c.id = m.id WHERE m.side = 'h1' AND m.dim = 0""",
     ),
     "kfold_assign": f"""SELECT id, {_fold_sql('r', 'n', 10)} AS fold FROM (
   SELECT vec_id AS id, row_number() OVER (ORDER BY vec_id) - 1 AS r, count(*) OVER () AS n FROM embeddings)""",
