@@ -18,13 +18,15 @@ import hashlib
 import re
 import struct
 from collections.abc import Callable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
+from versus.llm import arrays
+
 CACHE = 400_000  # distinct pre-tokens kept by a worker; beyond that the cache starts anew
 
 # The characters of Unicode's White_Space property, as the inside of a class.
@@ -115,26 +117,27 @@ class PreTokenEncoder:
         self.limit = cache
         self.cache: dict[str, bytes] = {}
 
-    def _learn(self, parts: list[str]) -> None:
-        new = [p for p in dict.fromkeys(parts) if p not in self.cache]
+    def _learn(self, needed: set[str]) -> None:
+        new = list(needed.difference(self.cache))
         if len(self.cache) + len(new) > self.limit:
             self.cache = dict(islice(self.cache.items(), self.limit // 4))
-            new = [p for p in dict.fromkeys(parts) if p not in self.cache]
-        for part, ids in zip(new, self.encode_new(new), strict=True):
+            new = list(needed.difference(self.cache))
+        for part, ids in zip(new, self.encode_new(new) if new else (), strict=True):
             self.cache[part] = struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
+    def _split(self, text: str) -> list[str]:
         try:
             text.encode("latin-1")
-            parts = self.find_latin(text)
+            return self.find_latin(text)
         except UnicodeEncodeError:
-            parts = self.find(text)
-        try:
-            return b"".join(map(self.cache.__getitem__, parts))
-        except KeyError:
-            self._learn(parts)
-            return b"".join(map(self.cache.__getitem__, parts))
+            return self.find(text)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """For each text its ids as little-endian unsigned 32-bit integers."""
+        parts = [self._split(text) for text in texts]
+        self._learn(set(chain.from_iterable(parts)))
+        known = self.cache.__getitem__
+        return [b"".join(map(known, p)) for p in parts]
 
 
 class Codec(PreTokenEncoder):
@@ -205,13 +208,14 @@ def encode_documents(
         coder = codec(SparkFiles.get(name), pattern)
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
-            for text in batch.column(1):
-                ids = coder.encode(text.as_py() or "")
-                back = coder.decode(ids)
-                found = (len(ids) // 4, hashlib.sha256(ids).hexdigest(),
-                         hashlib.sha256(back).hexdigest(), ids, back)
-                for column, value in zip(rows, found, strict=True):
-                    column.append(value)
+            for start, stop in arrays.slices(batch.column(1), 2 << 20):
+                texts = batch.column(1).slice(start, stop - start).to_pylist()
+                for ids in coder.encode([text or "" for text in texts]):
+                    back = coder.decode(ids)
+                    found = (len(ids) // 4, hashlib.sha256(ids).hexdigest(),
+                             hashlib.sha256(back).hexdigest(), ids, back)
+                    for column, value in zip(rows if with_ids else rows[:3], found, strict=False):
+                        column.append(value)
             columns = [
                 batch.column(0),
                 pa.array(rows[0], pa.int64()),
