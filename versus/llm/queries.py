@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from versus.llm.bpe import op2_bpe
+from versus.llm.packing import op6_packing
 
-QUERIES = {"op2_bpe": op2_bpe}
+QUERIES = {"op2_bpe": op2_bpe, "op6_packing": op6_packing}
 
 ORACLE: dict[str, str] = {}
