@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from versus.llm.bpe import op2_bpe
+from versus.llm.lm import op1_lm_score
 from versus.llm.packing import op6_packing
 
-QUERIES = {"op2_bpe": op2_bpe, "op6_packing": op6_packing}
+QUERIES = {"op1_lm_score": op1_lm_score, "op2_bpe": op2_bpe, "op6_packing": op6_packing}
 
 ORACLE: dict[str, str] = {}
