@@ -5,8 +5,9 @@ from __future__ import annotations
 from versus.llm.bpe import op2_bpe
 from versus.llm.langid import op5_langid
 from versus.llm.lm import op1_lm_score
+from versus.llm.near_dedup import op10_near_dedup
 from versus.llm.packing import op6_packing
 
-QUERIES = {"op1_lm_score": op1_lm_score, "op2_bpe": op2_bpe, "op5_langid": op5_langid, "op6_packing": op6_packing}
+QUERIES = {"op1_lm_score": op1_lm_score, "op2_bpe": op2_bpe, "op5_langid": op5_langid, "op6_packing": op6_packing, "op10_near_dedup": op10_near_dedup}
 
 ORACLE: dict[str, str] = {}
