@@ -9,7 +9,8 @@ from versus.llm.line_dedup import op3_line_dedup
 from versus.llm.lm import op1_lm_score
 from versus.llm.near_dedup import op10_near_dedup
 from versus.llm.packing import op6_packing
+from versus.llm.pii import op8_pii
 
-QUERIES = {"op1_lm_score": op1_lm_score, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op5_langid": op5_langid, "op6_packing": op6_packing, "op9_licenses": op9_licenses, "op10_near_dedup": op10_near_dedup}
+QUERIES = {"op1_lm_score": op1_lm_score, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op5_langid": op5_langid, "op6_packing": op6_packing, "op8_pii": op8_pii, "op9_licenses": op9_licenses, "op10_near_dedup": op10_near_dedup}
 
 ORACLE: dict[str, str] = {}
