@@ -10,7 +10,9 @@ from versus.llm.lm import op1_lm_score
 from versus.llm.near_dedup import op10_near_dedup
 from versus.llm.packing import op6_packing
 from versus.llm.pii import op8_pii
+from versus.llm.quality import ORACLE as QUALITY_ORACLE
+from versus.llm.quality import op7_quality
 
-QUERIES = {"op1_lm_score": op1_lm_score, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op5_langid": op5_langid, "op6_packing": op6_packing, "op8_pii": op8_pii, "op9_licenses": op9_licenses, "op10_near_dedup": op10_near_dedup}
+QUERIES = {"op1_lm_score": op1_lm_score, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op5_langid": op5_langid, "op6_packing": op6_packing, "op7_quality": op7_quality, "op8_pii": op8_pii, "op9_licenses": op9_licenses, "op10_near_dedup": op10_near_dedup}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {**QUALITY_ORACLE}
