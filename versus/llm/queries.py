@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from versus.llm.ann import op4_ann
 from versus.llm.bpe import op2_bpe
 from versus.llm.langid import op5_langid
 from versus.llm.licenses import op9_licenses
@@ -13,6 +14,6 @@ from versus.llm.pii import op8_pii
 from versus.llm.quality import ORACLE as QUALITY_ORACLE
 from versus.llm.quality import op7_quality
 
-QUERIES = {"op1_lm_score": op1_lm_score, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op5_langid": op5_langid, "op6_packing": op6_packing, "op7_quality": op7_quality, "op8_pii": op8_pii, "op9_licenses": op9_licenses, "op10_near_dedup": op10_near_dedup}
+QUERIES = {"op1_lm_score": op1_lm_score, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op4_ann": op4_ann, "op5_langid": op5_langid, "op6_packing": op6_packing, "op7_quality": op7_quality, "op8_pii": op8_pii, "op9_licenses": op9_licenses, "op10_near_dedup": op10_near_dedup}
 
 ORACLE: dict[str, str] = {**QUALITY_ORACLE}
