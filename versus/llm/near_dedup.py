@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versus.llm import arrays
-from versus.llm.common import buckets, table
+from versus.llm.common import buckets, ship, table
 from versus.llm.components import connected
 from versus.session import materialize
 
@@ -325,5 +325,6 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles) stays, with its columns."""
+    ship(spark)
     gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

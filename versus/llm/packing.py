@@ -31,6 +31,7 @@ from pyspark.sql.window import Window
 
 from versus.llm import arrays
 from versus.llm.bpe import PreTokenEncoder
+from versus.llm.common import ship, table
 from versus.session import materialize
 
 OTHER_QUEUES = 16
@@ -256,13 +257,17 @@ def pack(
     )
 
 
-def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _packed(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
-    from versus.llm.common import table
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return pack(docs, path, public_tokenizers.PATTERN)
 
-    return pack(
-        table(spark, sf_dir, "documents"),
-        public_tokenizers.path("byte_bpe_50k.json"),
-        public_tokenizers.PATTERN,
-    )
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(table(spark, sf_dir, "documents"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return _packed(docs)

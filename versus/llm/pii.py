@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versus.llm import arrays
-from versus.llm.common import table
+from versus.llm.common import ship, table
 from versus.session import materialize
 
 NEAR = 8
@@ -283,6 +283,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and disclosing terms are replaced by their kind; every document stays."""
+    ship(spark)
     found = find_personal_data(docs).where("size(spans) > 0").select(
         F.col("doc_id").alias("__id"), F.col("digest").alias("__own"), F.col("spans").alias("__spans")
     ).distinct()
