@@ -160,7 +160,7 @@ def test_knn_equals_brute_force_with_many_copies(spark, metric):
     rows, x = points(5, 150, copies=50)
     df = materialize(spark.createDataFrame(rows, SCHEMA))
     queries, train = df.where("id % 4 = 0"), df.where("id % 4 <> 0")
-    out = K.knn_join(queries, train, 5, metric, pivots=8, salts=2).collect()
+    out = K.knn_join(queries, train, 5, metric, block=7).collect()
     got = {}
     for r in out:
         got.setdefault(r["id"], {})[r["rank"]] = r["train_id"]
@@ -177,7 +177,7 @@ def test_mahalanobis_equals_brute_force(spark):
     df = materialize(spark.createDataFrame(rows, SCHEMA))
     queries, train = df.where("id < 10"), df.where("id >= 10")
     white_train, white_queries = (materialize(d) for d in K.whiten(train, queries, dim=4))
-    out = K.knn_join(white_queries, white_train, 3, pivots=4).where("rank = 1").collect()
+    out = K.knn_join(white_queries, white_train, 3, block=9).where("rank = 1").collect()
     inverse = np.linalg.inv(np.cov(x[10:].T))
     for r in out:
         diff = x[10:] - x[r["id"]]

@@ -230,25 +230,38 @@ def knn_cv(spark, d):
     return scores.select("fold", "n", "n_right", r6(F.col("accuracy")).alias("accuracy"))
 
 
-def knn_grid(spark, d):
-    """Selected share of features x vote weights, cross-validated: mean and deviation."""
+GRID_FOLDS = 10
+GRID_PERCENTILES = list(range(5, 101, 5))
+GRID_METRICS = {
+    "euclidean": K.Metric(2),
+    "manhattan": K.Metric(1),
+    "chebyshev": K.METRICS["chebyshev"],
+    "minkowski": K.minkowski(MINKOWSKI_P),
+    "wminkowski": K.minkowski(MINKOWSKI_P, METRIC_WEIGHTS),
+    "seuclidean": "seuclidean",
+}
+
+
+def _grid(spark, d, metrics) -> DataFrame:
     v = SC.scale_and_normalize(X.vectors(spark, d), DIM)
-    folded = materialize(R.stratified_kfold(v, 3))
-    scores = SC.anova_f(folded)
-    out = None
-    for percentile in (50, 100):
-        chosen = materialize(SC.project(folded, SC.anova_select(scores, percentile)))
-        for weights in ("uniform", "distance"):
-            part = K.cross_validate(chosen, 3, NEIGHBOURS, weights).select(
-                F.lit(percentile).alias("percentile"), F.lit(weights).alias("weights"), "accuracy"
-            )
-            out = part if out is None else out.unionAll(part)
-    summary = K.score_summary(out, ("percentile", "weights"))
+    folded = materialize(R.kfold(v, GRID_FOLDS))
+    found = K.grid_neighbours(folded, DIM, GRID_PERCENTILES, metrics, NEIGHBOURS)
+    summary = K.score_summary(K.grid_scores(found), ("percentile", "metric", "weights"))
     return summary.select(
-        "percentile", "weights", r6(F.col("mean")).alias("mean"), r6(F.col("std")).alias("std")
+        "percentile", "metric", "weights", r6(F.col("mean")).alias("mean"), r6(F.col("std")).alias("std")
     )
 
 
+def knn_grid(spark, d):
+    """Share of selected dimensions x metric x vote weights over ten folds: mean and deviation."""
+    return _grid(spark, d, GRID_METRICS)
+
+
+def knn_grid_mahalanobis(spark, d):
+    """The same grid for the Mahalanobis distance."""
+    return _grid(spark, d, {"mahalanobis": "mahalanobis"})
+
+
 def kfold_assign(spark, d):
     return R.kfold(X.vectors(spark, d).select("id"), 10)
 
@@ -354,6 +367,7 @@ QUERIES = {
     "knn_mahalanobis": knn_mahalanobis,
     "knn_cv": knn_cv,
     "knn_grid": knn_grid,
+    "knn_grid_mahalanobis": knn_grid_mahalanobis,
     "kfold_assign": kfold_assign,
     "stratified_kfold_assign": stratified_kfold_assign,
     "holdout_split": holdout_split,
@@ -522,36 +536,71 @@ def _cv_ctes() -> tuple[str, ...]:
 
 
 def _grid_sql() -> str:
-    distance = (
-        "sqrt(list_sum(list_transform(range(1, len(q.f) + 1), "
-        "lambda i: (q.f[i] - t.f[i]) * (q.f[i] - t.f[i]))))"
+    """Each pair's differences are put in the order of the fold's scores; a share of the
+    dimensions is then the head of that list."""
+    weights = "[" + ", ".join(str(w) for w in METRIC_WEIGHTS) + "]"
+    shares = "[" + ", ".join(map(str, GRID_PERCENTILES)) + "]"
+    cuts = "[" + ", ".join(str((100.0 - p) / 100.0) for p in GRID_PERCENTILES) + "]"
+    dims = f"range(1, {DIM + 1})"
+    head = "[1:n]"
+    distances = {
+        "euclidean": f"sqrt(list_sum(e2{head}))",
+        "manhattan": f"list_sum(e{head})",
+        "chebyshev": f"list_max(e{head})",
+        "minkowski": f"pow(list_sum(e3{head}), 1.0::DOUBLE / 3.0)",
+        "wminkowski": f"pow(list_sum(w3{head}), 1.0::DOUBLE / 3.0)",
+        "seuclidean": f"sqrt(list_sum(s2{head}))",
+    }
+    best = ", ".join(
+        f"min({{'d': round({e}, 9), 't': train_id, 'l': label}}, {NEIGHBOURS}) AS {m}" for m, e in distances.items()
+    )
+    union = " UNION ALL ".join(
+        f"SELECT percentile, '{m}' AS metric, fold, id, truth, unnest({m}) AS x FROM best" for m in distances
     )
+    rank = _fold_sql("r", "n", GRID_FOLDS)
     return O.with_ctes(
         _SCALED,
-        _STRATA,
-        _ANOVA.format(source="unit"),
-        """chosen AS (SELECT 100 AS percentile, * FROM unit UNION ALL SELECT 50, * FROM unit
-  WHERE dim IN (SELECT dim FROM scores WHERE f > (SELECT quantile_cont(f, 0.5) FROM scores)))""",
-        """points AS (SELECT percentile, id, any_value(u.label) AS label, any_value(fold) AS fold,
-    list(v ORDER BY dim) AS f FROM chosen u JOIN strata USING (id) GROUP BY percentile, id)""",
-        f"""distances AS (SELECT q.percentile, q.id, t.id AS train_id, t.label, round({distance}, 9) AS dist
-  FROM points q JOIN points t ON q.percentile = t.percentile AND q.fold <> t.fold)""",
-        """near AS (SELECT *, max((dist = 0)::INTEGER) OVER (PARTITION BY percentile, id) AS z FROM (
-  SELECT *, row_number() OVER (PARTITION BY percentile, id ORDER BY dist, train_id) AS rank FROM distances)
-  WHERE rank <= 5)""",
-        """tally AS (
-  SELECT percentile, 'uniform' AS weights, id, label, count(*)::DOUBLE AS w FROM near GROUP BY ALL
+        f"""folds AS (SELECT id, {rank} AS fold FROM (SELECT vec_id AS id,
+  row_number() OVER (ORDER BY vec_id) - 1 AS r, count(*) OVER () AS n FROM embeddings))""",
+        "own AS (SELECT u.*, fold FROM unit u JOIN folds USING (id))",
+        """sums AS (SELECT fold, dim, label, count(*) AS n, sum(v) AS s, sum(v * v) AS ss FROM own GROUP BY ALL)""",
+        """rest AS (SELECT h.fold, dim, label, sum(n) AS n, sum(s) AS s, sum(ss) AS ss
+  FROM (SELECT DISTINCT fold FROM folds) h JOIN sums ON sums.fold <> h.fold GROUP BY ALL)""",
+        """dim_rest AS (SELECT fold, dim, sum(n) AS n, count(*) AS k, sum(s) AS s, sum(ss) AS ss,
+  sum(s * s / n) AS b FROM rest GROUP BY ALL)""",
+        """scores AS (SELECT fold, dim, ((b - s * s / n) / (k - 1)) / ((ss - b) / (n - k)) AS f,
+  sqrt((ss - s * s / n) / (n - 1)) AS sd FROM dim_rest)""",
+        """orders AS (SELECT fold, list(dim + 1 ORDER BY f DESC) AS o, list(sd ORDER BY f DESC) AS sd FROM scores
+  GROUP BY fold)""",
+        f"""shares AS (SELECT fold, percentile, count(*) FILTER (percentile >= 100 OR f > cut) AS n FROM scores
+  JOIN (SELECT fold, unnest({shares}) AS percentile, unnest(cuts) AS cut
+    FROM (SELECT fold, quantile_cont(f, {cuts}) AS cuts FROM scores GROUP BY fold)) USING (fold) GROUP BY ALL)""",
+        """points AS (SELECT id, any_value(label) AS label, any_value(fold) AS fold, list(v ORDER BY dim) AS v
+  FROM own GROUP BY id)""",
+        f"""pairs AS (SELECT q.id, q.fold, q.label AS truth, t.id AS train_id, t.label, o, sd,
+    list_transform(o, lambda i: abs(q.v[i] - t.v[i])) AS e
+  FROM points q JOIN points t ON q.fold <> t.fold JOIN orders ON orders.fold = q.fold)""",
+        f"""powers AS (SELECT *, list_transform(e, lambda x: x * x) AS e2, list_transform(e, lambda x: x * x * x) AS e3,
+    list_transform({dims}, lambda i: pow(e[i] * {weights}[o[i]], 3)) AS w3,
+    list_transform({dims}, lambda i: pow(e[i] / sd[i], 2)) AS s2 FROM pairs)""",
+        f"""best AS (SELECT percentile, p.fold, id, truth, {best}
+  FROM powers p JOIN shares s ON s.fold = p.fold GROUP BY ALL)""",
+        f"near AS ({union})",
+        """zeroed AS (SELECT *, x.d AS dist, x.l AS label,
+  max((x.d = 0)::INTEGER) OVER (PARTITION BY percentile, metric, id) AS z FROM near)""",
+        """tally AS (SELECT percentile, metric, fold, id, truth, label, count(*)::DOUBLE AS uniform,
+    round(sum(CASE WHEN z = 1 THEN (dist = 0)::INTEGER::DOUBLE ELSE 1.0::DOUBLE / dist END), 9) AS near
+  FROM zeroed GROUP BY ALL)""",
+        """winners AS (
+  SELECT percentile, metric, 'uniform' AS weights, fold, truth, max({'w': uniform, 'l': -label}).l AS l
+    FROM tally GROUP BY percentile, metric, fold, truth, id
   UNION ALL
-  SELECT percentile, 'distance', id, label,
-    round(sum(CASE WHEN z = 1 THEN (dist = 0)::INTEGER::DOUBLE ELSE 1.0::DOUBLE / dist END), 9)
-  FROM near GROUP BY ALL)""",
-        """winners AS (SELECT percentile, weights, id, label AS pred FROM (
-  SELECT *, row_number() OVER (PARTITION BY percentile, weights, id ORDER BY w DESC, label) AS r FROM tally)
-  WHERE r = 1)""",
-        """fold_scores AS (SELECT w.percentile, weights, fold, avg((pred = label)::INTEGER::DOUBLE) AS accuracy
-  FROM winners w JOIN points p ON p.percentile = w.percentile AND p.id = w.id GROUP BY ALL)""",
-        """SELECT percentile, weights, round(avg(accuracy), 6) AS mean, round(stddev_pop(accuracy), 6) AS std
-FROM fold_scores GROUP BY ALL""",
+  SELECT percentile, metric, 'distance', fold, truth, max({'w': near, 'l': -label}).l
+    FROM tally GROUP BY percentile, metric, fold, truth, id)""",
+        """fold_scores AS (SELECT percentile, metric, weights, fold, avg((truth = -l)::INTEGER::DOUBLE) AS accuracy
+  FROM winners GROUP BY ALL)""",
+        """SELECT percentile::INTEGER AS percentile, metric, weights, round(avg(accuracy), 6) AS mean,
+  round(stddev_pop(accuracy), 6) AS std FROM fold_scores GROUP BY ALL""",
     )
 
 
