@@ -117,7 +117,7 @@ def test_sweep_point_equals_single_run(spark, triples):
     rows = [("a b", "a", "a b c"), ("x", "a c", "a b"), ("a", "a", "a"), ("b", "a b x y", "a b")]
     gold = spark.createDataFrame([(0, 1), (1, -1), (2, 0), (3, 1)], "id bigint, gold int")
     counts = J.overlap_counts(triples(rows))
-    sweep = S.meteor_alpha_sweep(counts, gold, "id", S.frange(1, 10, 2, 10))
+    sweep = S.meteor_alpha_sweep(counts, gold, "id", S.fractions(1, 10, 2, 10))
     got = {r["alpha"]: r["accuracy"] for r in sweep.collect()}
     assert sorted(got) == [0.1, 0.3, 0.5, 0.7, 0.9]
     for alpha, accuracy in got.items():

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from versus.functions.tokens import trim_ws
+
 from versus.functions import bleu as B
 from versus.functions.metrics import meteor, preference
 from versus.functions.ngrams import bag_hits, match_counts
@@ -99,7 +101,7 @@ def score_bleu_smoothed(
 
 def validate(predictions: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
     """Split raw judgements into (valid rows with ``pred``, error rows with ``reason``)."""
-    parsed = predictions.withColumn("pred", F.btrim(F.col(raw)).try_cast("int"))
+    parsed = predictions.withColumn("pred", trim_ws(F.col(raw)).try_cast("int"))
     ok = F.coalesce(F.col("pred").between(-1, 1), F.lit(False))
     errors = parsed.where(~ok).withColumn(
         "reason", F.when(F.col("pred").isNull(), "not an integer").otherwise("out of range")
@@ -110,17 +112,17 @@ def validate(predictions: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataF
 def length_mismatch(inputs: DataFrame, predictions: DataFrame, on: str = "id") -> DataFrame:
     """One row: how many inputs lack a prediction and how many predictions lack an input.
 
-    Both sides are tagged and grouped once instead of outer-joined.
+    Rows are counted, not ids: a second prediction for one input is one too many. Both sides are tagged and grouped once instead of outer-joined.
     """
     tagged = inputs.select(on, F.lit(1).alias("i"), F.lit(0).alias("p")).unionAll(
         predictions.select(on, F.lit(0).alias("i"), F.lit(1).alias("p"))
     )
-    per_id = tagged.groupBy(on).agg(F.max("i").alias("i"), F.max("p").alias("p"))
+    per_id = tagged.groupBy(on).agg(F.sum("i").alias("i"), F.sum("p").alias("p"))
     return per_id.agg(
         F.sum("i").alias("n_inputs"),
         F.sum("p").alias("n_predictions"),
-        F.coalesce(F.sum(F.col("i") * (1 - F.col("p"))), F.lit(0)).alias("n_missing"),
-        F.coalesce(F.sum(F.col("p") * (1 - F.col("i"))), F.lit(0)).alias("n_extra"),
+        F.coalesce(F.sum(F.greatest(F.col("i") - F.col("p"), F.lit(0))), F.lit(0)).alias("n_missing"),
+        F.coalesce(F.sum(F.greatest(F.col("p") - F.col("i"), F.lit(0))), F.lit(0)).alias("n_extra"),
     )
 
 

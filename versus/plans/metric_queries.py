@@ -14,6 +14,7 @@ from versus.plans import sweeps as S
 from versus.sources.logs import parse_sweep_log, render_sweep_log
 
 ALPHAS = (1, 100, 1, 100)
+FINE_ALPHAS = (800, 1000, 1, 1000)
 WEIGHTS = [(0.25, 0.25, 0.25, 0.25), (1.0, 1.0, 1.0, 1.0), (0.4, 0.3, 0.2, 0.1)]
 FIRST_ROWS = 100
 
@@ -90,7 +91,15 @@ def length_mismatch(spark, d):
 
 def meteor_alpha_sweep(spark, d):
     out = S.meteor_alpha_sweep(
-        _overlaps(spark, d), X.judgements(spark, d), "doc_id", S.frange(*ALPHAS)
+        _overlaps(spark, d), X.judgements(spark, d), "doc_id", S.fractions(*ALPHAS)
+    )
+    return out.select("alpha", "n_judged", "n_right", r6(F.col("accuracy")).alias("accuracy"))
+
+
+def meteor_alpha_fine(spark, d):
+    """The same sweep from 0.800 to 0.999 in steps of 0.001."""
+    out = S.meteor_alpha_sweep(
+        _overlaps(spark, d), X.judgements(spark, d), "doc_id", S.fractions(*FINE_ALPHAS)
     )
     return out.select("alpha", "n_judged", "n_right", r6(F.col("accuracy")).alias("accuracy"))
 
@@ -189,6 +198,7 @@ QUERIES = {
     "invalid_judgements": invalid_judgements,
     "length_mismatch": length_mismatch,
     "meteor_alpha_sweep": meteor_alpha_sweep,
+    "meteor_alpha_fine": meteor_alpha_fine,
     "sweep_topk": sweep_topk,
     "ngram_counts": ngram_counts,
     "clipped_precision": clipped_precision,
@@ -217,14 +227,23 @@ _RAW = f"""raw AS (
   FROM overlap WHERE id % 89 <> 0)"""
 _SCORES = f"""SELECT id, round(h1_score, 6) AS h1_score, round(h2_score, 6) AS h2_score,
   {O.pref('h1_score', 'h2_score')} AS pred FROM bleu_scored"""
-_ALPHA_SWEEP = f"""alphas AS (SELECT i::DOUBLE / 100.0::DOUBLE AS alpha FROM range(1, 100) AS t(i)),
+
+
+def _alpha_ctes(start: int, stop: int, step: int, divisor: int) -> tuple[str, ...]:
+    sweep = f"""alphas AS (SELECT i::DOUBLE / {divisor}.0::DOUBLE AS alpha FROM range({start}, {stop}, {step}) AS t(i)),
+profiles AS (SELECT gold, h1_hits, h2_hits, h1_len, h2_len, ref_len, count(*) AS weight
+  FROM overlap JOIN gold USING (doc_id) GROUP BY ALL),
 sweep AS (
-  SELECT alpha, count(*) AS n_judged, sum((pred = gold)::BIGINT)::BIGINT AS n_right
-  FROM (SELECT alpha, gold, {O.pref(O.meteor_sql('h1_hits', 'h1_len', 'ref_len', 'alpha'),
-                                    O.meteor_sql('h2_hits', 'h2_len', 'ref_len', 'alpha'))} AS pred
-        FROM overlap JOIN gold USING (doc_id), alphas)
+  SELECT alpha, sum(weight)::BIGINT AS n_judged, (sum(weight) FILTER (pred = gold))::BIGINT AS n_right
+  FROM (SELECT alpha, gold, weight, {O.pref(O.meteor_sql('h1_hits', 'h1_len', 'ref_len', 'alpha'),
+                                            O.meteor_sql('h2_hits', 'h2_len', 'ref_len', 'alpha'))} AS pred
+        FROM profiles, alphas)
   GROUP BY alpha)"""
-_ALPHA_CTES = (O.TRIPLES, O.OVERLAP, O.GOLD, _ALPHA_SWEEP)
+    return (O.TRIPLES, O.OVERLAP, O.GOLD, sweep)
+
+
+FINE_ALPHA_CTES = _alpha_ctes(*FINE_ALPHAS)
+_ALPHA_CTES = _alpha_ctes(*ALPHAS)
 
 
 def _scored_sql(h1: str, h2: str) -> str:
@@ -320,6 +339,10 @@ FROM sentences i FULL JOIN raw p ON i.id = p.id""",
         *_ALPHA_CTES,
         "SELECT alpha, n_judged, n_right, round(n_right::DOUBLE / n_judged, 6) AS accuracy FROM sweep",
     ),
+    "meteor_alpha_fine": O.with_ctes(
+        *FINE_ALPHA_CTES,
+        "SELECT alpha, n_judged, n_right, round(n_right::DOUBLE / n_judged, 6) AS accuracy FROM sweep",
+    ),
     "sweep_topk": O.with_ctes(
         *_ALPHA_CTES,
         """SELECT alpha, round(n_right::DOUBLE / n_judged, 6) AS accuracy FROM sweep
@@ -337,11 +360,12 @@ GROUP BY ALL""",
         O.sides_of("triples"),
         O.grams_of(4),
         O.MATCHES,
-        """SELECT t.id, o.n, coalesce(a.m, 0) AS h1_match, greatest(len(t.h1) - o.n + 1, 0) AS h1_total,
-  coalesce(b.m, 0) AS h2_match, greatest(len(t.h2) - o.n + 1, 0) AS h2_total
-FROM triples t, range(1, 5) AS o(n)
-LEFT JOIN matches a ON a.id = t.id AND a.n = o.n AND a.side = 'h1'
-LEFT JOIN matches b ON b.id = t.id AND b.n = o.n AND b.side = 'h2'""",
+        """by_id AS (SELECT id, n, max(m) FILTER (side = 'h1') AS a, max(m) FILTER (side = 'h2') AS b
+  FROM matches GROUP BY ALL),
+orders AS (SELECT id, len(h1) AS c1, len(h2) AS c2, unnest([1, 2, 3, 4]) AS n FROM triples)""",
+        """SELECT id, n, coalesce(a, 0) AS h1_match, greatest(c1 - n + 1, 0) AS h1_total,
+  coalesce(b, 0) AS h2_match, greatest(c2 - n + 1, 0) AS h2_total
+FROM orders LEFT JOIN by_id USING (id, n)""",
     ),
     "bleu_simple": _scored_sql(O.bleu_score(0), O.bleu_score(0)),
     "bleu_bigram_up": _scored_sql(O.bleu_score(0, range(2, 5)), O.bleu_score(0, range(2, 5))),

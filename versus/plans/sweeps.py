@@ -17,7 +17,7 @@ from versus.functions.metrics import meteor, preference
 TECHNIQUES = (4, 5, 6, 7)
 
 
-def frange(start: int, stop: int, step: int, divisor: int) -> Column:
+def fractions(start: int, stop: int, step: int, divisor: int) -> Column:
     """The doubles start/divisor, (start+step)/divisor, … below stop/divisor, as an array."""
     last = F.lit(stop - 1 - (stop - 1 - start) % step)
     return F.transform(

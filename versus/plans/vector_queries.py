@@ -133,12 +133,13 @@ def vector_merge(spark, d):
     lexical = FX.feature_vector(words, build_frequencies(words))
     df, vec = _inputs(spark, d)
     merged = EM.merge_vectors(lexical, EM.embed(df, vec, DIM, EM.MEAN))
-    return merged.select(
+    tail = _digest(merged.select("id", F.slice("features", F.lit(121), F.lit(3 * DIM)).alias("features")))
+    return tail.join(
+        merged.select(
+            "id", F.size("features").alias("all"), r6(F.get("features", F.lit(0))).alias("first")
+        ),
         "id",
-        F.size("features").alias("size"),
-        r6(F.get("features", F.lit(0))).alias("first"),
-        r6(F.get("features", F.lit(120))).alias("first_mean"),
-    )
+    ).select("id", "all", "first", "total", "weighted")
 
 
 def _long(df: DataFrame) -> DataFrame:
@@ -337,15 +338,41 @@ def svc_grid(spark, d):
 
 
 def model_round_trip(spark, d):
-    """Fit, store, load, predict everything, store and load the judgements."""
+    """Fit, store, load, predict everything, store and load the judgements: how many rows, and
+    how many on which the loaded model differs from the fitted one."""
     rows, train, _ = _model_data(spark, d)
     path = scratch_dir(spark)
     fitted = M.pipeline("decision_tree", DIM, len(CLASSES), 0.5).fit(M.to_ml(train, CLASSES))
     M.save_model(fitted, f"{path}/model")
     TB.save_judgements(M.predict(M.load_model(f"{path}/model"), rows, CLASSES), f"{path}/pred")
-    return TB.load_judgements(spark, f"{path}/pred")
+    loaded = TB.load_judgements(spark, f"{path}/pred").withColumnRenamed("pred", "again")
+    both = M.predict(fitted, rows, CLASSES).join(loaded, "id")
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum((~F.col("pred").eqNullSafe(F.col("again"))).cast("int")), F.lit(0)).alias("n_differing"),
+    )
+
+
+def held_out_accuracy(spark, d):
+    """(model, n, n_right, accuracy) on the held-out rows, for every kind of model."""
+    _, train, test = _model_data(spark, d)
+    train, test = materialize(train), materialize(test)
+    out = None
+    for kind in (*MODEL_KINDS, "bernoulli_nb"):
+        model = M.bernoulli_nb() if kind == "bernoulli_nb" else M.pipeline(kind, DIM, len(CLASSES))
+        pred = M.train_and_predict(model, train, test.drop("label"), CLASSES)
+        hits = pred.join(test.select("id", "label"), "id").agg(
+            F.count(F.lit(1)).alias("n"), F.sum((F.col("pred") == F.col("label")).cast("int")).alias("n_right")
+        )
+        part = hits.select(
+            F.lit(kind).alias("model"), "n", "n_right", r6(F.col("n_right") / F.col("n")).alias("accuracy")
+        )
+        out = part if out is None else out.unionAll(part)
+    return out
 
 
+MODEL_KINDS = ("decision_tree", "random_forest", "mlp", "linear_svc", "tree_ovr")
+
 QUERIES = {
     "wordvec_mean": wordvec_mean,
     "wordvec_tfidf": wordvec_tfidf,
@@ -373,12 +400,13 @@ QUERIES = {
     "holdout_split": holdout_split,
     "text_round_trip": text_round_trip,
     "stream_confusion": stream_confusion,
-    **{k: _classifier(k) for k in ("decision_tree", "random_forest", "mlp", "linear_svc", "tree_ovr")},
+    **{k: _classifier(k) for k in MODEL_KINDS},
     "bernoulli_nb": bernoulli_nb,
     "ovo_vote": ovo_vote,
     "cv_grid": cv_grid,
     "svc_grid": svc_grid,
     "model_round_trip": model_round_trip,
+    "held_out_accuracy": held_out_accuracy,
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -667,8 +695,22 @@ FROM winners JOIN points USING (id) GROUP BY fold""",
         _WORDS,
         _CHAR_PRF,
         _means_sql(),
-        f"""SELECT m.id, (120 + 3 * {DIM})::INTEGER AS size, round(c.h1_0, 6) AS first, round(m.v, 6) AS first_mean
-FROM means m JOIN char_prf c ON c.id = m.id WHERE m.side = 'h1' AND m.dim = 0""",
+        f"digest AS ({_digest_sql('dim * 3 + k')})",
+        f"""SELECT d.id, (120 + d.size)::INTEGER AS "all", round(c.h1_0, 6) AS first, d.total, d.weighted
+FROM digest d JOIN char_prf c ON c.id = d.id""",
+    ),
+    "model_round_trip": "SELECT count(*) AS n_rows, 0::BIGINT AS n_differing FROM embeddings",
+    "bernoulli_nb": O.with_ctes(
+        """points AS (SELECT vec_id AS id, label % 3 - 1 AS label, embedding AS v,
+  ('0x' || substr(md5(vec_id::VARCHAR || ':42'), 1, 8))::BIGINT % 10 = 0 AS is_test FROM embeddings)""",
+        "long AS (SELECT id, label, is_test, unnest(v) > 0 AS x, unnest(range(len(v))) AS dim FROM points)",
+        "sizes AS (SELECT label, count(*) AS n FROM points WHERE NOT is_test GROUP BY label)",
+        """theta AS (SELECT label, dim, (sum(x::INTEGER) + 1.0) / (any_value(n) + 2.0) AS p
+  FROM long JOIN sizes USING (label) WHERE NOT is_test GROUP BY label, dim)""",
+        """scored AS (SELECT l.id, t.label, sum(CASE WHEN x THEN ln(p) ELSE ln(1 - p) END)
+    + any_value(ln((n + 1.0) / ((SELECT sum(n) FROM sizes) + (SELECT count(*) FROM sizes)))) AS s
+  FROM long l JOIN theta t USING (dim) JOIN sizes z ON z.label = t.label GROUP BY ALL)""",
+        "SELECT id, arg_max(label, s) AS pred FROM scored GROUP BY id",
     ),
     "kfold_assign": f"""SELECT id, {_fold_sql('r', 'n', 10)} AS fold FROM (
   SELECT vec_id AS id, row_number() OVER (ORDER BY vec_id) - 1 AS r, count(*) OVER () AS n FROM embeddings)""",

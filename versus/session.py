@@ -31,18 +31,22 @@ def get_session(app: str = "versus", master: str | None = None, **conf: str) ->
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
+    """A new folder under the cluster's shared checkpoint folder, deleted when the session ends.
 
-    The folder is read from ``spark.checkpoint.dir``. Only where that is unset (tests,
-    single-machine runs) a temporary folder is made once and remembered in the session.
+    The folder is read from ``spark.checkpoint.dir``. Where that is unset, a temporary folder is
+    made, but only for a local master: elsewhere executors would write to their own disks.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("versus.scratch.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("versus.scratch.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="versus-")
         spark.conf.set("versus.scratch.dir", base)
-    return os.path.join(base, f"versus-{uuid.uuid4().hex}")
+    path = os.path.join(base, f"versus-{uuid.uuid4().hex}")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def materialize(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
