@@ -225,9 +225,50 @@ def test_models_fit_store_and_predict(spark):
         assert pred.where("pred = label").count() >= 57
     ovo = M.one_vs_one(df, df, classes).join(df, "id")
     assert ovo.where("pred = label").count() >= 57
-    search = M.grid_search(df, classes, percentiles=(0.34, 1.0), parallelism=2)
-    assert max(search.avgMetrics) > 0.9
-    assert M.best_setting(M.grid_scores(search, [0.34, 1.0], spark)).first()["mean"] > 0.9
+    settings = M.tree_settings(classes, (34, 100))
+    scores, best, name = M.search(df, classes, settings, ("accuracy", "macro_recall"), 2)
+    assert len(scores) == 4 and max(s[2] for s in scores) > 0.9
+    assert name == max((s for s in scores if s[1] == "accuracy"), key=lambda s: s[2])[0]
+    assert M.predict(best, df, classes).join(df, "id").where("pred = label").count() >= 57
+    table = spark.createDataFrame(scores, "setting string, metric string, mean double, std double")
+    assert M.best_setting(table.where("metric = 'accuracy'")).first()["setting"] == name
+    counts = np.array([[3, 1, 0], [2, 2, 0], [0, 0, 0]])
+    assert M.METRICS["macro_precision"](counts) == pytest.approx((3 / 5 + 2 / 3) / 2)
+    assert M.METRICS["macro_recall"](counts) == pytest.approx((3 / 4 + 2 / 4) / 2)
+
+
+def test_knn_grid_selects_by_fold(spark):
+    """Against a loop that fits the selection on the rows outside each fold."""
+    rng = np.random.default_rng(5)
+    label = rng.integers(0, 3, 60)
+    x = rng.normal(size=(60, 6)) + label[:, None] * np.array([2, 0, 1, 0, 0.5, 0])
+    df = spark.createDataFrame([(i, x[i].tolist(), int(label[i])) for i in range(60)], SCHEMA)
+    folded = materialize(R.kfold(df, 5))
+    fold = {r.id: r.fold for r in folded.collect()}
+    metrics = {"l2": K.Metric(2), "w": K.minkowski(3, [1, 2, 3, 4, 5, 6]), "s": "seuclidean", "m": "mahalanobis"}
+    got = {}
+    for r in K.grid_neighbours(folded, 6, [50, 100], metrics, 3, block=11).collect():
+        got.setdefault((r["percentile"], r["metric"], r["id"]), []).append((r["rank"], r["train_id"]))
+    for f in range(5):
+        rest = [i for i in range(60) if fold[i] != f]
+        t = x[rest]
+        groups = [t[label[rest] == c] for c in range(3)]
+        between = sum(len(g) * (g.mean(0) - t.mean(0)) ** 2 for g in groups) / 2
+        within = sum(((g - g.mean(0)) ** 2).sum(0) for g in groups) / (len(rest) - 3)
+        score = between / within
+        for p in (50, 100):
+            dims = np.flatnonzero(score > np.percentile(score, 50)) if p == 50 else np.arange(6)
+            inverse = np.linalg.inv(np.cov(t[:, dims].T))
+            for i in (i for i in range(60) if fold[i] == f):
+                d = t[:, dims] - x[i, dims]
+                w = np.arange(1, 7)[dims]
+                want = {
+                    "l2": (d**2).sum(1), "w": (np.abs(d * w) ** 3).sum(1),
+                    "s": ((d / t[:, dims].std(0, ddof=1)) ** 2).sum(1), "m": ((d @ inverse) * d).sum(1),
+                }
+                for m, dist in want.items():
+                    near = [rest[j] for j in np.argsort(dist)[:3]]
+                    assert [t_id for _, t_id in sorted(got[p, m, i])] == near
 
 
 def test_stream_equals_batch(spark, data_dir):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -14,7 +17,6 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     Binarizer,
     MinMaxScaler,
@@ -22,7 +24,6 @@ from pyspark.ml.feature import (
     UnivariateFeatureSelector,
 )
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,23 +67,39 @@ def selector(percentile: float) -> UnivariateFeatureSelector:
     )
 
 
-def classifier(kind: str, dim: int, n_classes: int, features: str = "unit") -> Estimator:
-    """One classifier by name."""
+def classifier(
+    kind: str,
+    dim: int,
+    n_classes: int,
+    features: str = "unit",
+    max_iter: int = 100,
+    n_trees: int = 100,
+) -> Estimator:
+    """One classifier by name; ``*_ovr`` is one classifier per class against the rest."""
     cols = {"featuresCol": features, "labelCol": "y"}
-    svc = LinearSVC(**cols, maxIter=50, regParam=0.01)
+    svc = LinearSVC(**cols, maxIter=max_iter, regParam=0.01)
+
+    def network(outputs: int) -> MultilayerPerceptronClassifier:
+        return MultilayerPerceptronClassifier(
+            **cols, layers=[dim, HIDDEN_UNITS, outputs], maxIter=max_iter, seed=SEED
+        )
+
     if kind == "decision_tree":
         return DecisionTreeClassifier(**cols, seed=SEED)
     if kind == "random_forest":
-        return RandomForestClassifier(**cols, numTrees=50, seed=SEED)
+        return RandomForestClassifier(**cols, numTrees=n_trees, seed=SEED)
     if kind == "mlp":
-        return MultilayerPerceptronClassifier(
-            **cols, layers=[dim, HIDDEN_UNITS, n_classes], maxIter=50, seed=SEED
-        )
+        return network(n_classes)
     if kind == "linear_svc":
         return OneVsRest(classifier=svc, **cols)
     if kind == "tree_ovr":
-        tree = RandomForestClassifier(**cols, numTrees=10, seed=SEED)
+        # A probabilistic score ranks the classes; a single tree is a forest of one.
+        tree = RandomForestClassifier(
+            **cols, numTrees=1, featureSubsetStrategy="all", bootstrap=False, seed=SEED
+        )
         return OneVsRest(classifier=tree, **cols)
+    if kind == "mlp_ovr":
+        return OneVsRest(classifier=network(2), **cols)
     raise ValueError(f"unknown classifier {kind!r}")
 
 
@@ -124,7 +141,9 @@ def predict(model, rows: DataFrame, classes: list[int], refit_scaling: bool = Fa
     return from_ml(model.transform(data), classes).select("id", "pred")
 
 
-def one_vs_one(train: DataFrame, rows: DataFrame, classes: list[int]) -> DataFrame:
+def one_vs_one(
+    train: DataFrame, rows: DataFrame, classes: list[int], max_iter: int = 100
+) -> DataFrame:
     """A linear SVC per pair of classes; most votes win, ties go to the smallest class.
 
     The fits are a few; every prediction is one pass, and the votes are counted per row.
@@ -137,7 +156,7 @@ def one_vs_one(train: DataFrame, rows: DataFrame, classes: list[int]) -> DataFra
         pair = scaled.where(F.col("label").isin(low, high)).select(
             "unit", (F.col("label") == high).cast("double").alias("y")
         )
-        model = LinearSVC(featuresCol="unit", labelCol="y", maxIter=50, regParam=0.01).fit(pair)
+        model = LinearSVC(featuresCol="unit", labelCol="y", maxIter=max_iter, regParam=0.01).fit(pair)
         picked = F.when(F.col("prediction") == 1.0, high).otherwise(low)
         votes.append(model.transform(asked).select("id", picked.alias("label")))
     tally = reduce(DataFrame.unionAll, votes).groupBy("id", "label").agg(F.count(F.lit(1)).alias("v"))
@@ -145,66 +164,90 @@ def one_vs_one(train: DataFrame, rows: DataFrame, classes: list[int]) -> DataFra
     return tally.groupBy("id").agg(best.alias("pred"))
 
 
-def grid_search(
-    folded: DataFrame,
-    classes: list[int],
-    kind: str = "decision_tree",
-    percentiles: tuple[float, ...] = (0.25, 0.5, 1.0),
-    metric: str = "accuracy",
-    parallelism: int = 4,
-) -> CrossValidatorModel:
-    """Cross-validated search over the share of selected features, refitted with the best.
-
-    ``folded`` needs a ``fold`` column; the folds are used as they are.
-    """
-    data = to_ml(folded, classes)
-    select = selector(1.0)
-    tree = classifier(kind, 0, len(classes), "chosen")
-    estimator = Pipeline(stages=[*preparation(), select, tree])
-    grid = ParamGridBuilder().addGrid(select.selectionThreshold, list(percentiles)).build()
-    return _validator(estimator, grid, metric, folded, parallelism).fit(data)
+def _macro(counts: np.ndarray, axis: int) -> float:
+    """Mean over the classes that occur of right answers among those given (axis 0) or due (1)."""
+    right, total = np.diag(counts), counts.sum(axis)
+    seen = counts.sum(0) + counts.sum(1) > 0
+    return float(np.where(total > 0, right / np.maximum(total, 1), 0.0)[seen].mean()) if seen.any() else 0.0
+
+
+#: Scores of a search, from (truth, prediction) counts as a square array.
+METRICS: dict[str, Callable[[np.ndarray], float]] = {
+    "accuracy": lambda c: float(np.trace(c) / max(c.sum(), 1)),
+    "macro_precision": lambda c: _macro(c, 0),
+    "macro_recall": lambda c: _macro(c, 1),
+}
 
 
-def svc_grid_search(
+def search(
     folded: DataFrame,
     classes: list[int],
-    costs: tuple[float, ...] = (1.0, 10.0, 100.0, 1000.0),
-    metric: str = "weightedPrecision",
-    parallelism: int = 4,
-) -> CrossValidatorModel:
-    """Linear SVC over cost settings, scored by precision or recall."""
+    settings: dict[str, Estimator],
+    metrics: tuple[str, ...] = ("accuracy",),
+    parallelism: int = 8,
+) -> tuple[list[tuple[str, str, float, float]], PipelineModel, str]:
+    """Every setting fitted on all folds but one and scored on that one; then the best setting by
+    the first metric (ties: the first) refitted on all rows. Settings work on the column ``unit``:
+    scaling is fitted once per fold, on the fold's training rows.
+
+    Gives rows of (setting, metric, mean, std over folds), the refitted model and its setting.
+    A fit is a Spark job of its own; ``parallelism`` of them run at a time. Each returns
+    classes x classes counts. ``folded`` is read for every fit: store it.
+    """
     data = to_ml(folded, classes)
-    svc = OneVsRest(
-        classifier=LinearSVC(featuresCol="unit", labelCol="y", maxIter=20),
-        featuresCol="unit",
-        labelCol="y",
-    )
-    estimator = Pipeline(stages=[*preparation(), svc])
-    settings = [
-        LinearSVC(featuresCol="unit", labelCol="y", maxIter=20, regParam=1.0 / c) for c in costs
-    ]
-    grid = ParamGridBuilder().addGrid(svc.classifier, settings).build()
-    return _validator(estimator, grid, metric, folded, parallelism).fit(data)
-
-
-def _validator(estimator, grid, metric: str, folded: DataFrame, parallelism: int) -> CrossValidator:
     n_folds = folded.agg(F.max("fold")).first()[0] + 1
-    return CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(labelCol="y", metricName=metric),
-        numFolds=n_folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
+    prepared = Pipeline(stages=preparation())
+    kept = ["y", "unit", "fold"]
+    parts = []
+    for fold in range(n_folds):
+        ready = prepared.fit(data.where(F.col("fold") != fold)).transform(data).select(*kept)
+        parts.append(ready.persist())  # read by every setting; lost blocks are worked out again
+
+    def one(fold: int, name: str) -> tuple[str, np.ndarray]:
+        model = settings[name].fit(parts[fold].where(F.col("fold") != fold))
+        held = parts[fold].where(F.col("fold") == fold)
+        rows = model.transform(held).groupBy("y", "prediction").count().collect()
+        counts = np.zeros((len(classes), len(classes)))
+        for r in rows:
+            counts[int(r["y"]), int(r["prediction"])] += r["count"]
+        return name, counts
+
+    scores: dict[str, list[np.ndarray]] = {name: [] for name in settings}
+    jobs = [(fold, name) for fold in range(n_folds) for name in settings]
+    with ThreadPoolExecutor(parallelism) as pool:
+        for name, counts in pool.map(lambda job: one(*job), jobs):
+            scores[name].append(counts)
+    for part in parts:
+        part.unpersist()
+    out = []
+    for name, found in scores.items():
+        for metric in metrics:
+            values = [METRICS[metric](c) for c in found]
+            out.append((name, metric, float(np.mean(values)), float(np.std(values))))
+    first = [r for r in out if r[1] == metrics[0]]
+    best = max(first, key=lambda r: r[2])[0]
+    first_stages = prepared.fit(data)
+    last = settings[best].fit(first_stages.transform(data))
+    return out, PipelineModel(stages=[first_stages, last]), best
+
+
+def tree_settings(classes: list[int], percentiles: tuple[int, ...]) -> dict[str, Estimator]:
+    """A decision tree on each share (in percent) of the features."""
+    return {
+        str(p): Pipeline(
+            stages=[selector(p / 100.0), classifier("decision_tree", 0, len(classes), "chosen")]
+        )
+        for p in percentiles
+    }
 
 
-def grid_scores(model: CrossValidatorModel, names: list[object], spark) -> DataFrame:
-    """(setting, mean, std) of a finished search: one row per setting."""
-    rows = [
-        (str(n), float(m), float(s)) for n, m, s in zip(names, model.avgMetrics, model.stdMetrics)
-    ]
-    return spark.createDataFrame(rows, "setting string, mean double, std double")
+def svc_settings(costs: tuple[float, ...], max_iter: int = 100) -> dict[str, Estimator]:
+    """Linear SVCs, one against the rest, at each cost."""
+    cols = {"featuresCol": "unit", "labelCol": "y"}
+    return {
+        str(c): OneVsRest(classifier=LinearSVC(**cols, maxIter=max_iter, regParam=1.0 / c), **cols)
+        for c in costs
+    }
 
 
 def best_setting(scores: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -323,18 +325,57 @@ def ovo_vote(spark, d):
     return M.one_vs_one(train, rows.drop("label"), CLASSES)
 
 
+TREE_PERCENTILES = tuple(range(5, 101, 5))
+SVC_COSTS = (1.0, 10.0, 100.0, 1000.0)
+
+
+def _searched(spark, d, n_folds: int, settings, metrics: tuple[str, ...]) -> DataFrame:
+    """(setting, metric, mean, std, chosen, n_right): n_right, of the chosen setting only, are the
+    right predictions of the model refitted on the training rows for the held-out rows."""
+    _, train, test = _model_data(spark, d)
+    folded = materialize(R.kfold(train, n_folds))
+    scores, model, best = M.search(folded, CLASSES, settings, metrics)
+    pred = M.predict(model, test.drop("label"), CLASSES).join(test.select("id", "label"), "id")
+    right = pred.agg(F.sum((F.col("pred") == F.col("label")).cast("long"))).first()[0]
+    rows = [(*r, r[0] == best, right if r[0] == best else None) for r in scores]
+    return spark.createDataFrame(
+        rows, "setting string, metric string, mean double, std double, chosen boolean, n_right long"
+    )
+
+
 def cv_grid(spark, d):
-    rows, _, _ = _model_data(spark, d)
-    shares = (0.25, 0.5, 1.0)
-    model = M.grid_search(materialize(R.kfold(rows, 3)), CLASSES, percentiles=shares)
-    return M.grid_scores(model, list(shares), spark)
+    """A decision tree on 5 to 100 percent of the features, ten folds, then the best refitted."""
+    return _searched(spark, d, 10, M.tree_settings(CLASSES, TREE_PERCENTILES), ("accuracy",))
 
 
 def svc_grid(spark, d):
-    rows, _, _ = _model_data(spark, d)
-    costs = (1.0, 100.0)
-    model = M.svc_grid_search(materialize(R.kfold(rows, 2)), CLASSES, costs)
-    return M.grid_scores(model, list(costs), spark)
+    """Linear SVCs at four costs, five folds, by macro precision and macro recall."""
+    return _searched(spark, d, 5, M.svc_settings(SVC_COSTS), ("macro_precision", "macro_recall"))
+
+
+def knn_ovr(spark, d):
+    """One yes/no vote of the neighbours per class; the largest share wins."""
+    test, train = _split(spark, d)
+    return K.vote_one_vs_rest(K.knn_join(test, train, NEIGHBOURS))
+
+
+def embed_char_idf(spark, d):
+    """TF-IDF means with weights of single characters: longer words take the largest weight."""
+    df, vec = _inputs(spark, d)
+    idf = materialize(EM.corpus_idf(EM.word_bags(df), "char"))
+    return _digest(EM.embed(df, vec, DIM, EM.CORPUS_IDF, idf))
+
+
+HEAD = 16
+
+
+def embed_batch(spark, d):
+    """Two vector tables (whole vectors, and their first 16 numbers) times three ways of averaging."""
+    df, vec = _inputs(spark, d)
+    head = vec.select("word", F.slice("vec", 1, HEAD).alias("vec"))
+    out = EM.embed_batch(df, {"whole": (vec, DIM), "head": (head, HEAD)})
+    digests = _digest(out.select(F.struct("source", "mode", "id").alias("id"), "features"))
+    return digests.select("id.source", "id.mode", "id.id", "size", "total", "weighted")
 
 
 def model_round_trip(spark, d):
@@ -371,7 +412,7 @@ def held_out_accuracy(spark, d):
     return out
 
 
-MODEL_KINDS = ("decision_tree", "random_forest", "mlp", "linear_svc", "tree_ovr")
+MODEL_KINDS = ("decision_tree", "random_forest", "mlp", "linear_svc", "tree_ovr", "mlp_ovr")
 
 QUERIES = {
     "wordvec_mean": wordvec_mean,
@@ -405,6 +446,9 @@ QUERIES = {
     "ovo_vote": ovo_vote,
     "cv_grid": cv_grid,
     "svc_grid": svc_grid,
+    "knn_ovr": knn_ovr,
+    "embed_char_idf": embed_char_idf,
+    "embed_batch": embed_batch,
     "model_round_trip": model_round_trip,
     "held_out_accuracy": held_out_accuracy,
 }
@@ -453,6 +497,34 @@ _EMBED_CTES = (O.TRIPLES, _STRIPPED, _UNITS, _VECTORS)
 _AVERAGED = "SELECT side, dim, round(avg(v), 6) AS value FROM means GROUP BY ALL"
 
 
+_CHAR_IDF = """
+word_uses AS (SELECT word, sum(n) AS n FROM uses GROUP BY word),
+char_df AS (SELECT word, sum(n)::BIGINT AS df FROM (
+  SELECT unnest(list_distinct(string_split(word, ''))) AS word, n FROM word_uses WHERE word <> '') GROUP BY word),
+corpus_idf AS (SELECT word, df, ln((1 + (SELECT sum(n) FROM word_uses))::DOUBLE / (1 + df)::DOUBLE) + 1 AS idf
+  FROM char_df)"""
+
+
+def _batch_sql() -> str:
+    """The means of each way once, digested whole and for the first numbers only."""
+    parts, union = [], []
+    for mode, (join, weight) in enumerate([("", "1"), _ROW_JOIN, _CORPUS_JOIN], 1):
+        names = ("weighted", "known", "sums", "means")
+        sql = _means_sql(join, weight)
+        for name in names:
+            sql = re.sub(rf"\b{name}\b", f"{name}_{mode}", sql)
+        parts.append(sql)
+        for source, size in (("whole", DIM), ("head", HEAD)):
+            place = "dim * 3 + k" if mode == 1 else f"k * {size} + dim"
+            union.append(
+                f"""SELECT '{source}' AS source, {mode} AS mode, id, count(*)::INTEGER AS size,
+  round(sum(v), 6) AS total, round(sum(v * ({place} + 1)), 6) AS weighted
+FROM (SELECT *, CASE side WHEN 'h1' THEN 0 WHEN 'h2' THEN 1 ELSE 2 END AS k FROM means_{mode} WHERE dim < {size})
+GROUP BY id"""
+            )
+    return O.with_ctes(*_EMBED_CTES, _ROW_IDF, _CORPUS_IDF, *parts, " UNION ALL ".join(union))
+
+
 def _digest_sql(position: str) -> str:
     return f"""SELECT id, count(*)::INTEGER AS size, round(sum(v), 6) AS total,
   round(sum(v * ({position} + 1)), 6) AS weighted
@@ -642,6 +714,11 @@ ORACLE = {
     "embed_corpus_idf": O.with_ctes(
         *_EMBED_CTES, _CORPUS_IDF, _means_sql(*_CORPUS_JOIN), _digest_sql(f"k * {DIM} + dim")
     ),
+    "embed_char_idf": O.with_ctes(
+        *_EMBED_CTES, _CHAR_IDF, _means_sql(*_CORPUS_JOIN), _digest_sql(f"k * {DIM} + dim")
+    ),
+    "embed_batch": _batch_sql(),
+    "knn_ovr": _knn_sql(_EUCLID),
     "idf_row": O.with_ctes(
         O.TRIPLES,
         _STRIPPED,
