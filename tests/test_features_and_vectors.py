@@ -16,6 +16,7 @@ from versus.operators import frequency as FQ
 from versus.operators import judge as J
 from versus.operators import knn as K
 from versus.operators import lexical as L
+from versus.operators import lookup as LK
 from versus.operators import models as M
 from versus.operators import rank as R
 from versus.operators import scaling as SC
@@ -46,6 +47,26 @@ def test_lookup_with_hot_keys_equals_broadcast(spark):
         assert sorted(map(str, small.collect())) == sorted(map(str, large.select(small.columns).collect()))
 
 
+def test_lookup_with_many_entries_and_null_keys(spark, monkeypatch):
+    """A hot key with more entries than a broadcast may hold, rows without a key, one pass."""
+    monkeypatch.setattr(LK, "MAX_ENTRIES", 3)
+    rows = spark.range(600).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, "few").alias("word")
+    )
+    table = materialize(
+        spark.range(12).select(F.lit("hot").alias("word"), F.col("id").alias("v"))
+        .unionAll(spark.range(2).select(F.lit("few"), F.col("id")))
+    )
+    for how, size in (("inner", 200 * 14), ("left", 200 * 15)):
+        small = lookup(rows, table, ["word"], how)
+        large = lookup(rows, table, ["word"], how, max_broadcast_rows=5)
+        narrow = lookup(rows, table, ["word"], how, max_broadcast_bytes=100)
+        want = sorted(map(str, small.collect()))
+        assert len(want) == size
+        assert sorted(map(str, large.select(small.columns).collect())) == want
+        assert sorted(map(str, narrow.select(small.columns).collect())) == want
+
+
 def test_frequencies_store_and_shares(spark, triples):
     df = triples([("a b a b", "a a", "x"), ("a b c", "", "x")])
     freq = FQ.build_frequencies(df)

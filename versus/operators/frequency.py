@@ -60,13 +60,13 @@ def distinct_totals(freq: DataFrame) -> DataFrame:
     )
 
 
-def _tie_key() -> Column:
-    """Order of grams with equal counts: by hash, then by gram."""
-    return F.concat(F.md5("gram"), F.col("gram"))
+def _hash() -> Column:
+    """Grams with equal counts are in the order of this hash, then of the gram."""
+    return F.md5("gram")
 
 
 def _bucket() -> Column:
-    return F.substring(F.md5("gram"), 1, BUCKET_DIGITS)
+    return F.substring("hash", 1, BUCKET_DIGITS)
 
 
 def _locate(hist: DataFrame, by: list[str], order: str, target: Column, size: str) -> DataFrame:
@@ -90,7 +90,11 @@ def quartile_cuts(freq: DataFrame) -> DataFrame:
     inside that one count, and only the one remaining bucket is ranked row by row. So no
     order of all grams is ever made, however many share a count.
     """
-    hist = freq.groupBy("n", "cnt").agg(F.count(F.lit(1)).alias("size"))
+    # One pass over the grams: their number by count and bucket.
+    by_bucket = materialize(
+        freq.groupBy("n", "cnt", _bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("size"))
+    )
+    hist = by_bucket.groupBy("n", "cnt").agg(F.sum("size").alias("size"))
     whole = Window.partitionBy("n")
     cuts = hist.withColumn("total", F.sum("size").over(whole)).withColumn(
         "i", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
@@ -98,14 +102,7 @@ def quartile_cuts(freq: DataFrame) -> DataFrame:
     at_count = _locate(
         cuts, ["n", "i"], "cnt", F.floor(F.col("total") * F.col("i") / 4), "size"
     ).select("n", "i", "cnt", F.col("rest").alias("in_count"))
-
-    at_count = F.broadcast(at_count)  # three rows per n
-    buckets = (
-        freq.join(at_count.select("n", "cnt").distinct(), ["n", "cnt"], "left_semi")
-        .groupBy("n", "cnt", _bucket().alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("size"))
-        .join(at_count, ["n", "cnt"])
-    )
+    buckets = by_bucket.join(F.broadcast(at_count), ["n", "cnt"])  # three rows per n
     at_bucket = _locate(buckets, ["n", "i"], "bucket", F.col("in_count"), "size").select(
         "n", "i", "cnt", "bucket", F.col("rest").alias("in_bucket")
     )
@@ -114,7 +111,7 @@ def quartile_cuts(freq: DataFrame) -> DataFrame:
     )
     rank = F.row_number().over(Window.partitionBy("n", "i").orderBy("key")) - 1
     keys = (
-        members.select("n", "i", "cnt", "in_bucket", _tie_key().alias("key"))
+        members.select("n", "i", "cnt", "in_bucket", F.struct("hash", "gram").alias("key"))
         .withColumn("rank", rank)
         .where("rank = in_bucket")
     )
@@ -125,19 +122,25 @@ def quartile_cuts(freq: DataFrame) -> DataFrame:
 
 
 def with_quartiles(freq: DataFrame) -> DataFrame:
-    """(n, gram, cnt, quartile). ``freq`` should be a stored table: it is read several times."""
+    """(n, gram, cnt, quartile). ``freq`` should be a stored table with the grams' hashes (see
+    ``hashed``): it is read three times."""
+    freq = freq if "hash" in freq.columns else hashed(freq)
     cuts = F.broadcast(quartile_cuts(freq))  # one row per n
 
     def reached(i: int) -> Column:
         at = F.col("cnt") == F.col(f"cnt_{i}")
-        return F.when(
-            F.when(at, _tie_key() >= F.col(f"key_{i}")).otherwise(F.col("cnt") > F.col(f"cnt_{i}")), 1
-        ).otherwise(0)
+        later = F.struct("hash", "gram") >= F.col(f"key_{i}")
+        return F.when(F.when(at, later).otherwise(F.col("cnt") > F.col(f"cnt_{i}")), 1).otherwise(0)
 
     quartile = F.lit(1) + reached(1) + reached(2) + reached(3)
     return freq.join(cuts, "n").select("n", "gram", "cnt", quartile.alias("quartile"))
 
 
+def hashed(freq: DataFrame) -> DataFrame:
+    """Add the hash that orders grams of equal counts, so that it is worked out once per gram."""
+    return freq.withColumn("hash", _hash())
+
+
 def quartile_mass(freq: DataFrame) -> DataFrame:
     """(n, quartile, mass)."""
     return freq.groupBy("n", "quartile").agg(F.sum("cnt").alias("mass"))
@@ -145,7 +148,7 @@ def quartile_mass(freq: DataFrame) -> DataFrame:
 
 def build_frequencies(df: DataFrame, sides: list[str] = ["h1", "h2"], max_n: int = 4) -> DataFrame:
     """Stored (n, gram, cnt, quartile) table of a corpus of token arrays."""
-    counts = materialize(corpus_gram_counts(df, sides, max_n))
+    counts = materialize(hashed(corpus_gram_counts(df, sides, max_n)))
     return materialize(with_quartiles(counts))
 
 

@@ -164,6 +164,7 @@ def synonym_match(spark, d):
     split = L.synonym_split(X.triples(spark, d), materialize(synonyms(spark, d)))
     return split.select(
         "id",
+        F.array_join("h1", " ").alias("h1_text"),
         F.array_join("h2", " ").alias("h2_text"),
         *[F.size(n).alias(n) for n in ("h1_in", "h1_out", "h2_in", "h2_out", "ref_in", "ref_out")],
     )
@@ -469,7 +470,7 @@ swapped AS (SELECT t.id, t.ref,
     CASE WHEN swaps IS NULL THEN h2 ELSE list_transform(h2, lambda x: coalesce(swaps[x], x)) END AS h2
   FROM triples t LEFT JOIN swaps s ON s.id = t.id)""",
         _split_sql().format(source="swapped"),
-        """SELECT id, array_to_string(h2, ' ') AS h2_text, len(h1_in) AS h1_in, len(h1_out) AS h1_out,
+        """SELECT id, array_to_string(h1, ' ') AS h1_text, array_to_string(h2, ' ') AS h2_text, len(h1_in) AS h1_in, len(h1_out) AS h1_out,
   len(h2_in) AS h2_in, len(h2_out) AS h2_out, len(ref_in) AS ref_in, len(ref_out) AS ref_out FROM split""",
     ),
     "feature_vector_120": _feature_sql(),
