@@ -5,6 +5,7 @@ from collections import defaultdict
 import corpus_pipeline as cp
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 
@@ -45,6 +46,24 @@ def test_decisions_take_effect(spark, tmp_path):
     assert parts == {d: len(i) for d, i in ids.items()}
 
 
+def test_stages_with_clashing_columns_and_empty_tables(spark):
+    names = ["n_lines", "score", "lang_pred", "spans", "digest", "component_id", "kept", "id", "queue", "chunk"]
+    columns = [F.lit(f"own {c}").alias(c) for c in names]
+    rows = [(i, sentence(i), "en", None, 5) for i in range(4)] + [(9, sentence(2), "en", "x", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = df.select("*", *columns)
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, "")
+        assert stage(spark, docs.limit(0), "").collect() == []
+        if name != "packing":
+            assert out.columns == docs.columns
+            got = out.collect()
+            assert len(got) == (4 if name == "near_dedup" else 5)
+            assert all(r[c] == f"own {c}" for r in got for c in names)
+        else:
+            assert len({r.doc_id for r in out.collect()}) == 5
+
+
 def test_every_query_is_registered():
     import __spark_entry__ as entry
 

@@ -47,3 +47,11 @@ def buckets(df: DataFrame, least: int = 32, per_partition: int = 2) -> int:
     """A power of two that grows with the input: a bucket then holds a bounded share of it."""
     n = max(least, per_partition * df.rdd.getNumPartitions())
     return 1 << (n - 1).bit_length()
+
+
+def set_apart(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but the ``used`` ones renamed, so that none clashes with a name
+    an operator adds, and the selection that restores names and order."""
+    names = [c if c in used else f"__kept_{i}" for i, c in enumerate(docs.columns)]
+    restore = [F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)]
+    return docs.toDF(*names), restore

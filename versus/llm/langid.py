@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versus.llm import arrays
-from versus.llm.common import remainder, ship, table
+from versus.llm.common import remainder, set_apart, ship, table
 
 ORDERS = (1, 2, 3)
 FEATURES = 1 << 16
@@ -168,6 +168,6 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised: ``und`` and posteriors below one half go."""
     ship(spark)
-    model = fit(docs)
-    kept = tuple(docs.columns)
-    return predict(docs, model, keep=kept).where("lang_pred <> 'und' and score >= 0.5").select(*kept)
+    apart, restore = set_apart(docs, ("text",))
+    found = predict(apart, fit(docs), keep=tuple(apart.columns))
+    return found.where("lang_pred <> 'und' and score >= 0.5").select(*restore)

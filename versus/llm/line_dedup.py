@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versus.llm.common import ship, table
+from versus.llm.common import set_apart, ship, table
 from versus.session import materialize
 
 MIN_LINES = 3
@@ -179,7 +179,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later repeats; a document of which no word is left goes."""
     ship(spark)
-    left = dedup_lines(docs).where("not emptied")
+    apart, restore = set_apart(docs, ("doc_id", "text", "n_chars"))
+    left = dedup_lines(apart).where("not emptied")
     return left.withColumn(
         "n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    ).select(*docs.columns)
+    ).select(*restore)
