@@ -8,6 +8,7 @@ from versus.llm.langid import op5_langid
 from versus.llm.licenses import op9_licenses
 from versus.llm.line_dedup import op3_line_dedup
 from versus.llm.lm import op1_lm_score
+from versus.llm.near_dedup import ORACLE as NEAR_ORACLE
 from versus.llm.near_dedup import op10_near_dedup
 from versus.llm.packing import op6_packing
 from versus.llm.pii import op8_pii
@@ -16,4 +17,4 @@ from versus.llm.quality import op7_quality
 
 QUERIES = {"op1_lm_score": op1_lm_score, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op4_ann": op4_ann, "op5_langid": op5_langid, "op6_packing": op6_packing, "op7_quality": op7_quality, "op8_pii": op8_pii, "op9_licenses": op9_licenses, "op10_near_dedup": op10_near_dedup}
 
-ORACLE: dict[str, str] = {**QUALITY_ORACLE}
+ORACLE: dict[str, str] = {**QUALITY_ORACLE, **NEAR_ORACLE}
