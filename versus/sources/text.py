@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from versus.functions.tokens import trim_punct, trim_ws, ws_tokens
+from versus.operators.lookup import MAX_BROADCAST_ROWS
 from versus.session import materialize
 
 SIDES = ("h1", "h2", "ref")
@@ -16,8 +17,9 @@ def with_line_ids(lines: DataFrame) -> DataFrame:
 
     ``lines`` must come straight from a text reader. Lines of one file split are consecutive in
     the partition-wise increasing id, so a line's number is its split's offset plus its distance
-    from the split's first line. Only the table of splits is ordered globally; the lines
-    themselves are neither sorted nor shuffled.
+    from the split's first line. Only the table of splits is ordered globally. Up to
+    ``MAX_BROADCAST_ROWS`` splits (counted) it is broadcast, and the lines are neither sorted nor
+    shuffled; beyond that they are shuffled by split.
     """
     tagged = lines.select(
         "value",
@@ -29,12 +31,16 @@ def with_line_ids(lines: DataFrame) -> DataFrame:
         F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n")
     )
     before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "__file",
-        "__block",
-        "__first",
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
+    offsets = materialize(
+        splits.select(
+            "__file",
+            "__block",
+            "__first",
+            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
+        )
     )
+    if offsets.count() <= MAX_BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     numbered = tagged.join(offsets, ["__file", "__block"])
     return numbered.select(
         (F.col("__offset") + F.col("__at") - F.col("__first")).alias("id"), "value"
@@ -102,7 +108,6 @@ def write_triples(df: DataFrame, path: str, by: str = "id") -> None:
 
 
 __all__ = [
-    "materialize",
     "read_judgements",
     "read_labels",
     "read_lines",
