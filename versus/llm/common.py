@@ -13,10 +13,18 @@ from pyspark.sql import functions as F
 import versus
 
 
+#: What a batch of rows may hold on its way to a Python worker, whatever the length of texts.
+BATCH_BYTES = 4 << 20
+BATCH_RECORDS = 1_000
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to Python workers that may not have it installed (once a session)."""
+    """Once a session: send this package to Python workers that may not have it installed, and
+    bound the batches that travel to them, since texts may be long."""
     if spark.conf.get("versus.shipped", None):
         return
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_RECORDS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = os.path.dirname(versus.__file__)
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w") as z:
