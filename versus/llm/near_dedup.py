@@ -115,7 +115,7 @@ def _ties(keys: np.ndarray, ids: np.ndarray, low: np.ndarray) -> pa.RecordBatch:
 
 def ties(classes: DataFrame) -> DataFrame:
     """(key, x, y): classes that meet under a key; every member but the smallest is an x once."""
-    shards = buckets(classes)
+    shards = buckets(classes, least=128)
     shift = np.uint64(64 - (shards.bit_length() - 1))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
