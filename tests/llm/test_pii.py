@@ -83,3 +83,14 @@ def test_stage_and_odd_rows(spark):
         [(1, "mail [EMAIL] now", "a", "b", 16)] * 2 + [(None, "[IP]", None, None, 4), rows[3], rows[4]], key=str
     )
     assert pii.pii_stage(spark, df.limit(0), "").collect() == []
+
+
+def test_terms_of_pooled_values_anywhere_in_the_document(spark):
+    rows = [(i, f"Quux {'so far ' * 20} {i} user{i}@corp.de") for i in range(4)]
+    rows += [(10 + i, f"call so far +49 {i}70 123456{i}") for i in range(4)]
+    rows += [(20 + i, f"so far nothing {i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(df).collect()}
+    for i, text in rows:
+        want = {"Quux"} if i < 4 else {"call"} if i < 20 else set()
+        assert {text[s.start : s.end] for s in got[i] if s.kind == 4} == want

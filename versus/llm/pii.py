@@ -1,21 +1,25 @@
 """Personal data: patterns, and terms that disclose it by co-occurrence.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers. Their values are the
-protected entities. From the corpus it is then estimated how strongly a term reveals an entity
-near which it stands: with p(.) the share of documents that contain something,
+protected entities. As most values stand in one text only, they are also pooled: each belongs to the
+entities of its kind and of its kind and e-mail domain, first two parts of the address, or leading
+digits. From the corpus it is then estimated how strongly a term reveals an entity: with p(.) the
+share of documents that contain something,
 
     disclosure(term, entity) = log2(p(term, entity) / (p(term) p(entity))) / -log2 p(entity)
 
 the pointwise mutual information as a share of the entity's information; 1 means that the term
-never occurs without the entity. Terms (words, A-Z lower-cased) within ``NEAR`` words of an entity
-whose disclosure reaches ``THRESHOLD`` are spans of the kind ``term`` in documents with the entity,
-wherever they stand there. ``SUPPORT`` different texts must hold both, or nothing is said of the
-pair. Terms are told apart by 64-bit hashes; all counts are of all documents.
-
-Documents that hold no entity are untouched. Entities and pairs are counted by partial sums, so a
-frequent one is a row per task; a document's own terms are collected only in it. The words of
-the corpus are counted for candidate terms: where there are at most ``BROADCAST_TERMS`` of them
-(counted first), other words are dropped in the task, else after the join; the counts are equal.
+never occurs without the entity. Terms (words, A-Z lower-cased) whose disclosure of an entity
+reaches ``THRESHOLD`` are spans of the kind ``term`` in documents with the entity, wherever they
+stand there. ``SUPPORT`` different texts must hold both, or nothing is said of the pair: a word of
+one text would always reach 1. Terms are told apart by 64-bit hashes; all counts are of all
+documents.
+
+Documents that hold no entity are untouched. The terms of each different text with an entity are
+counted by partial sums. Terms of too few texts, and those so frequent in the corpus that no entity
+could let them reach the threshold, are dropped before pairs are made. The words of the corpus are
+counted for candidate terms: where there are at most ``BROADCAST_TERMS`` of them (counted first),
+other words are dropped in the task, else after the join; the counts are equal.
 
 Null text counts as empty. Rows of the same id and text are one document each time they occur and
 get the same result; a row without id is treated like others. An empty table gives an empty
@@ -37,10 +41,11 @@ from versus.llm import arrays
 from versus.llm.common import ship, table
 from versus.session import materialize
 
-NEAR = 8
 SUPPORT = 3
 THRESHOLD = 0.9
 BROADCAST_TERMS = 1_000_000
+BROADCAST_ROWS = 100_000
+PREFIX = {"card": 6, "phone": 4}
 KINDS = ("email", "ip", "card", "phone", "term")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -100,47 +105,48 @@ def _hashes(words: list[str]) -> list[int]:
     return arrays.words(pa.array(words, pa.string()))[0].view(np.int64).tolist()
 
 
-def _entities(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, list[int]]]:
-    """Each entity of the text with the hashes of the terms near its occurrences."""
-    places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
-    starts = np.array([a for a, _ in places])
-    near: dict[str, set[str]] = {}
+def _entities(text: str, spans: list[tuple[int, int, int]]) -> tuple[list[str], list[int]]:
+    """The entities of the text, single values and pools, and the hashes of its other words."""
+    names = set()
     for start, kind, end in spans:
-        own = text[start:end].lower() if kind < 2 else re.sub("[^0-9]", "", text[start:end])
-        first = max(0, int(np.searchsorted(starts, start, "right")) - 1)
-        last = int(np.searchsorted(starts, end))
-        terms = near.setdefault(f"{KINDS[kind]}:{own}", set())
-        for a, b in [*places[max(0, first - NEAR) : first], *places[last : last + NEAR]]:
-            if not any(a < e and s < b for s, _, e in spans):
-                terms.add(text[a:b])
-    out = []
-    for entity, terms in near.items():
-        words = sorted(terms)
-        out.append((entity, sorted(set(_hashes(words))) if words else []))
-    return out
+        own, of = text[start:end].lower(), KINDS[kind]
+        if kind == 0:
+            pool = own[own.index("@") :]
+        elif kind == 1:
+            pool = ".".join(own.split(".")[:2]) + ".*"
+        else:
+            own = re.sub("[^0-9]", "", own)
+            pool = own[: PREFIX[of]] + "*"
+        names |= {f"{of}:{own}", f"{of}:{pool}", f"{of}:*"}
+    starts = np.array([a for a, _, _ in spans])
+    reach = np.maximum.accumulate([b for _, _, b in spans])
+    places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
+    before = np.searchsorted(starts, [b for _, b in places])
+    terms = {text[a:b] for (a, b), i in zip(places, before, strict=True) if i == 0 or reach[i - 1] <= a}
+    return sorted(names), sorted(set(_hashes(sorted(terms)))) if terms else []
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, digest (of the text), the base spans, and for rows with a span the text
-    and its entities with the terms near them."""
+    """Per row: doc_id, digest (of the text), the base spans, and for rows with a span the text,
+    its entities and its terms."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
-    entity = pa.list_(pa.struct([("entity", pa.string()), ("terms", pa.list_(pa.int64()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, texts, entities = [], [], []
+            spans, texts, entities, terms = [], [], [], []
             for value in batch.column(2):
                 text = value.as_py() or ""
                 found = base_spans(text)
                 spans.append([{"start": a, "kind": k, "end": b} for a, k, b in found])
                 texts.append(text if found else None)
-                entities.append(
-                    [{"entity": e, "terms": t} for e, t in _entities(text, found)] if found else []
-                )
+                names, words = _entities(text, found) if found else ([], [])
+                entities.append(names)
+                terms.append(words)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(spans, span),
-                 pa.array(texts, pa.string()), pa.array(entities, entity)],
-                names=["doc_id", "digest", "spans", "text", "entities"],
+                 pa.array(texts, pa.string()), pa.array(entities, pa.list_(pa.string())),
+                 pa.array(terms, pa.list_(pa.int64()))],
+                names=["doc_id", "digest", "spans", "text", "entities", "terms"],
             )
 
     return docs.select(
@@ -148,7 +154,7 @@ def detect(docs: DataFrame) -> DataFrame:
     ).mapInArrow(
         run,
         "doc_id long, digest long, spans array<struct<start long, kind int, end long>>, "
-        "text string, entities array<struct<entity string, terms array<long>>>",
+        "text string, entities array<string>, terms array<long>",
     )
 
 
@@ -181,29 +187,47 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return partial.join(terms, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
+def _only(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """``rows`` (with an array ``terms``) once for each of their terms that is one of ``terms``."""
+    small = terms.count() <= BROADCAST_ROWS
+    each = rows.withColumn("term", F.explode("terms")).drop("terms")
+    return each.join(F.broadcast(terms) if small else terms, "term")
+
+
 def disclosing(docs: DataFrame, found: DataFrame, threshold: float, support: int) -> DataFrame:
     """(entity, term, disclosure) of the pairs that reach the threshold."""
-    n = found.count()
-    each = found.where("size(spans) > 0").select("digest", F.explode("entities").alias("e"))
-    each = each.select("digest", "e.entity", "e.terms")
-    entities = (
-        each.groupBy("entity", "digest").count()
-        .groupBy("entity").agg(F.sum("count").alias("n_entity"), F.count("*").alias("n_texts"))
-        .where(F.col("n_texts") >= support)
+    n = float(found.count())
+    texts = materialize(
+        found.where("size(spans) > 0").groupBy("digest").agg(
+            F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("terms").alias("terms")
+        )
+    )
+    entities = materialize(
+        texts.select("copies", F.explode("entities").alias("entity"))
+        .groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count("*").alias("n_texts"))
+        .where(F.col("n_texts") >= support).drop("n_texts")
+    )
+    held = materialize(
+        texts.select(F.explode("terms").alias("term"))
+        .groupBy("term").agg(F.count("*").alias("n_texts"))
+        .where(F.col("n_texts") >= support).select("term")
     )
-    pairs = materialize(
-        each.select("entity", "digest", F.explode("terms").alias("term"))
-        .groupBy("entity", "term", "digest").count()
-        .groupBy("entity", "term").agg(F.sum("count").alias("n_both"), F.count("*").alias("n_texts"))
-        .where(F.col("n_texts") >= support)
-        .drop("n_texts")
-        .join(entities.drop("n_texts"), "entity")
+    # n_both is n_entity at most, so no term of more documents than this reaches the threshold
+    most = entities.agg(
+        F.max(F.pow(F.col("n_entity"), F.lit(threshold)) * F.pow(F.lit(n), F.lit(1 - threshold)))
+    ).first()[0]
+    counts = term_counts(docs, held).where(F.col("n_term") <= (most or 0) * (1 + 1e-9) + 1e-9)
+    counts = materialize(counts)
+    both = (
+        _only(texts, counts.select("term"))
+        .select("copies", "term", F.explode("entities").alias("entity"))
+        .groupBy("entity", "term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("n_texts"))
+        .where(F.col("n_texts") >= support).drop("n_texts")
     )
-    counts = term_counts(docs, materialize(pairs.select("term").distinct()))
-    information = F.log2(F.lit(float(n)) / F.col("n_entity"))
-    mutual = F.log2(F.lit(float(n)) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    information = F.log2(F.lit(n) / F.col("n_entity"))
+    mutual = F.log2(F.lit(n) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
     return (
-        pairs.join(counts, "term")
+        both.join(entities, "entity").join(counts, "term")
         .where(information > 0)
         .select("entity", "term", (mutual / information).alias("disclosure"))
         .where(F.col("disclosure") >= threshold)
@@ -218,15 +242,16 @@ def find_personal_data(
     with_data = found.where("size(spans) > 0")
     pairs = materialize(disclosing(docs, found, threshold, support))
     terms = (
-        with_data.select("doc_id", "digest", F.explode("entities.entity").alias("entity"))
-        .join(pairs, "entity")
+        _only(with_data.select("doc_id", "digest", "entities", "terms"), pairs.select("term").distinct())
+        .withColumn("entity", F.explode("entities"))
+        .join(pairs, ["entity", "term"])
         .groupBy("doc_id", "digest")
         .agg(F.collect_set("term").alias("terms"))
-        .select(F.col("doc_id").alias("id"), F.col("digest").alias("own"), "terms")
+        .select(F.col("doc_id").alias("id"), F.col("digest").alias("own"), F.col("terms").alias("disclosing"))
     )
     joined = with_data.join(
         terms, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("own")), "left"
-    ).select("doc_id", "digest", "spans", "text", "terms")
+    ).select("doc_id", "digest", "spans", "text", F.col("disclosing").alias("terms"))
     schema = "doc_id long, digest long, spans array<struct<start long, kind int, end long>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
