@@ -50,3 +50,13 @@ def test_query_recall(spark, data_dir):
     hits = [(r.query_id, r.vec_id) in scores for r in got]
     assert np.mean(hits) >= 0.9
     assert all(r.score == pytest.approx(scores.get((r.query_id, r.vec_id), r.score)) for r in got)
+
+
+def test_outliers_get_all_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(ann, "_calibrate", lambda *_: 1)
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in [9, 0, 0, 0] + rng.normal(size=4) / 1000]) for i in range(400)]
+    rows += [(400 + 20 * i, [float(x) for x in 50 * rng.normal(size=4)]) for i in range(6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = ann.search(df, F.col("id") % 20 == 0).collect()
+    assert {(r.query_id, r["rank"]) for r in got} == {(i, k + 1) for i, _ in rows if i % 20 == 0 for k in range(20)}

@@ -8,8 +8,9 @@ holds the nodes met so far by the inner product with their centroids, and the be
 How many leaves are visited is calibrated: for up to about ``CALIBRATION`` of the queries the exact
 nearest are found among all vectors, and the visits are widened, doubling, until the share of
 these found reaches ``RECALL``; then the smallest sufficient number of leaves is taken. In the
-worst case all leaves are visited, and the search is exact. Nothing else is left out: what stands
-in the visited leaves is compared in full.
+worst case all leaves are visited, and the search is exact. A query whose visited leaves hold fewer
+vectors than it asks for, besides those of its own id, opens further leaves until they do. Nothing
+else is left out: what stands in the visited leaves is compared in full.
 
 Leaves are gathered in groups, groups are split into blocks of at most about ``BLOCK`` vectors by a
 hash of the id, queries likewise: a hot leaf becomes many blocks. A block returns the best
@@ -120,14 +121,16 @@ class Tree:
         down(0, np.arange(len(x)))
         return out
 
-    def visit(self, q: np.ndarray, limit: int) -> list[int]:
-        """The first ``limit`` leaves of a query, best bin first."""
+    def visit(self, q: np.ndarray, limit: int, held: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first ``limit`` leaves of a query, best bin first, and more until they have at
+        least ``least`` of the vectors ``held`` by leaves."""
         value = self.centroids @ q
-        queue, out = [(-value[0], 0)], []
-        while queue and len(out) < limit:
+        queue, out, n = [(-value[0], 0)], [], 0
+        while queue and (len(out) < limit or n < least):
             node = heapq.heappop(queue)[1]
             if self.leaf[node] >= 0:
                 out.append(self.leaf[node])
+                n += least if held is None else held[self.leaf[node]]
             for kid in self.children[node]:
                 heapq.heappush(queue, (-value[kid], kid))
         return out
@@ -232,13 +235,17 @@ def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
     )
     queries = indexed.where(is_query).select("id", "v")
     leaves = _calibrate(queries, indexed, tree.value, neighbours, recall)
+    held_by = np.zeros(tree.value.leaves, np.int64)
+    for row in indexed.groupBy("leaf").count().collect():  # bounded, as the tree is
+        held_by[row["leaf"]] = row["count"]
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             source, parts, wanted = [], [], []
+            copies = batch.column(2).to_pylist()
             for i, q in enumerate(_matrix(batch.column(1))):
                 own: dict[int, list[int]] = {}
-                for leaf in tree.value.visit(q, leaves):
+                for leaf in tree.value.visit(q, leaves, held_by, neighbours + copies[i]):
                     own.setdefault(leaf // per_group, []).append(leaf)
                 source += [i] * len(own)
                 parts += own
@@ -250,7 +257,8 @@ def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
                 names=["id", "v", "part", "leaves"],
             )
 
-    visits = queries.mapInArrow(visit, "id long, v array<double>, part long, leaves array<long>")
+    copies = queries.groupBy("id").agg(F.count("*").alias("copies"))
+    visits = queries.join(copies, "id").select("id", "v", "copies").mapInArrow(visit, "id long, v array<double>, part long, leaves array<long>")
     sizes = indexed.groupBy("part").agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"))
     sizes = sizes.select(
         "part", F.ceil(F.col("n") / BLOCK).alias("blocks"),
