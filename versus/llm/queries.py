@@ -14,7 +14,20 @@ from versus.llm.packing import op6_packing
 from versus.llm.pii import op8_pii
 from versus.llm.quality import ORACLE as QUALITY_ORACLE
 from versus.llm.quality import op7_quality
+from versus.llm.suffixes import op11_suffix_dedup
 
-QUERIES = {"op1_lm_score": op1_lm_score, "op2_bpe": op2_bpe, "op3_line_dedup": op3_line_dedup, "op4_ann": op4_ann, "op5_langid": op5_langid, "op6_packing": op6_packing, "op7_quality": op7_quality, "op8_pii": op8_pii, "op9_licenses": op9_licenses, "op10_near_dedup": op10_near_dedup}
+QUERIES = {
+    "op1_lm_score": op1_lm_score,
+    "op2_bpe": op2_bpe,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_ann": op4_ann,
+    "op5_langid": op5_langid,
+    "op6_packing": op6_packing,
+    "op7_quality": op7_quality,
+    "op8_pii": op8_pii,
+    "op9_licenses": op9_licenses,
+    "op10_near_dedup": op10_near_dedup,
+    "op11_suffix_dedup": op11_suffix_dedup,
+}
 
 ORACLE: dict[str, str] = {**QUALITY_ORACLE, **NEAR_ORACLE}
