@@ -57,10 +57,10 @@ def brute(rows):
 SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
 
 
-def result(df):
+def result(df, depth=merkle.DEPTH):
     hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
     text = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
-    return sorted((tuple(r) for r in merkle.manifest(df, text).collect()), key=str)
+    return sorted((tuple(r) for r in merkle.manifest(df, text, depth=depth).collect()), key=str)
 
 
 def test_midstates_against_hashlib():
@@ -74,20 +74,16 @@ def test_midstates_against_hashlib():
 
 
 @pytest.mark.parametrize("depth", [1, 2, 6])
-def test_against_brute_force(spark, monkeypatch, depth):
-    monkeypatch.setattr(merkle, "DEPTH", depth)
-    monkeypatch.setattr(merkle, "BLOCK", 3**depth)
+def test_against_brute_force(spark, depth):
     rows = [(i, s, "en", i, f"line {i}\nend") for s, n in (("a", 1), ("b", 10), ("ä", 27), (None, 28), ("", 2))
             for i in range(n * 100, n * 101)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    assert result(df) == brute(rows)
+    assert result(df, depth) == brute(rows)
 
 
-def test_many_sources(spark, monkeypatch):
-    monkeypatch.setattr(merkle, "DEPTH", 1)
-    monkeypatch.setattr(merkle, "BLOCK", 3)
+def test_many_sources(spark):
     rows = [(i, f"s{i % 31}", None, None, "x\ny") for i in range(80)]
-    assert result(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
+    assert result(spark.createDataFrame(rows, SCHEMA), 1) == brute(rows)
 
 
 def test_odd_rows(spark):

@@ -10,10 +10,10 @@ its left is read again. The states are numbers, not library objects, so they are
 tree and resumed by any task.
 
 *At scale.* Leaves are range-partitioned by source and id, so a source may lie in many partitions;
-their places follow from sums of counts. ``FAN ** DEPTH`` neighbouring leaves are one row, which
+their places follow from sums of counts. ``FAN ** depth`` neighbouring leaves are one row, which
 holds their digests and their parents' digests and states; the heads of these rows are the leaves
 of the next pass, until one is left for every source. Paths travel the other way, from a row's head
-to its leaves. So no task holds more than ``FAN ** DEPTH`` nodes, and texts are read once.
+to its leaves. So no task holds more than ``FAN ** depth`` nodes, and texts are read once.
 
 Null columns are hashed as ``-``. Rows without id come first in their source and are not tampered
 with; equal ids are ordered by leaf, and repeated rows are leaves each. Empty and very long texts
@@ -37,7 +37,6 @@ from versus.session import materialize
 
 FAN = 3
 DEPTH = 6
-BLOCK = FAN**DEPTH
 
 _U = np.uint32
 
@@ -202,17 +201,17 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ]))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of leaves as parts of blocks."""
+def _cut(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of leaves as parts of blocks of ``size``."""
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
             at = 0
             while at < r["n"]:
                 place = r["start"] + at
-                stop = min(r["n"], at + BLOCK - place % BLOCK)
+                stop = min(r["n"], at + size - place % size)
                 rows.append({
-                    "g": r["g"], "block": place // BLOCK, "start": place, "total": r["total"],
+                    "g": r["g"], "block": place // size, "start": place, "total": r["total"],
                     "ids": r["ids"][at:stop], "leaves": r["leaves"][32 * at : 32 * stop],
                     "others": r["others"][32 * at : 32 * stop],
                 })
@@ -224,12 +223,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ]))
 
 
-def _build(parts: pd.DataFrame) -> pd.DataFrame:
-    """A block of leaves with their parents; as high as the group's tree goes, DEPTH at most."""
+def _build(parts: pd.DataFrame, depth: int) -> pd.DataFrame:
+    """A block of leaves with their parents; as high as the group's tree goes, ``depth`` at most."""
     parts = parts.sort_values("start")
     leaves = _raw(b"".join(parts["leaves"]))
     total = int(parts["total"].iloc[0])
-    levels, states = tree(leaves, min(DEPTH, height(total)))
+    levels, states = tree(leaves, min(depth, height(total)))
     return pd.DataFrame({
         "g": parts["g"].iloc[:1].to_list(), "block": parts["block"].iloc[:1].to_list(), "total": [total],
         "head": [levels[-1][0].tobytes()], "ids": [[i for x in parts["ids"] for i in x]],
@@ -239,12 +238,13 @@ def _build(parts: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def forest(rows: DataFrame, order: list[str]) -> list[DataFrame]:
+def forest(rows: DataFrame, order: list[str], depth: int) -> list[DataFrame]:
     """Trees over the rows of each group ``g`` by ``order``: rows of ``_BLOCKS`` for every pass.
 
     ``rows`` have g, id (text), leaf and other (32 bytes each); null sorts first.
     """
-    keys = ["g", *order]
+    keys, size = ["g", *order], FAN**depth
+    build = lambda parts: _build(parts, depth)
     ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
     packed = materialize(
         ranged.select(F.spark_partition_id().cast("long").alias("part"), "g", "id", "leaf", "other").mapInArrow(
@@ -263,15 +263,15 @@ def forest(rows: DataFrame, order: list[str]) -> list[DataFrame]:
     ).select("part", "no", "total", (F.col("offset") + F.col("own")).alias("start"))
     parts = packed.join(places, ["part", "no"]).select(
         "g", "start", "total", "n", "ids", "leaves", "others"
-    ).mapInArrow(_cut, "g string, block long, start long, total long, ids array<string>, leaves binary, others binary")
-    passes = [materialize(parts.groupBy("g", "block").applyInPandas(_build, _BLOCKS))]
-    while (passes[-1].agg(F.max("total")).first()[0] or 0) > BLOCK:
-        heads = passes[-1].where(F.col("total") > BLOCK).select(
-            "g", F.floor(F.col("block") / BLOCK).alias("block"), F.col("block").alias("start"),
-            F.ceil(F.col("total") / BLOCK).alias("total"), F.array().cast("array<string>").alias("ids"),
+    ).mapInArrow(lambda x: _cut(x, size), "g string, block long, start long, total long, ids array<string>, leaves binary, others binary")
+    passes = [materialize(parts.groupBy("g", "block").applyInPandas(build, _BLOCKS))]
+    while (passes[-1].agg(F.max("total")).first()[0] or 0) > size:
+        heads = passes[-1].where(F.col("total") > size).select(
+            "g", F.floor(F.col("block") / size).alias("block"), F.col("block").alias("start"),
+            F.ceil(F.col("total") / size).alias("total"), F.array().cast("array<string>").alias("ids"),
             F.col("head").alias("leaves"), F.lit(b"").alias("others"),
         )
-        passes.append(materialize(heads.groupBy("g", "block").applyInPandas(_build, _BLOCKS)))
+        passes.append(materialize(heads.groupBy("g", "block").applyInPandas(build, _BLOCKS)))
     return passes
 
 
@@ -290,12 +290,12 @@ def _ways(row: dict) -> np.ndarray:
     return np.concatenate([own, np.repeat(above, n, axis=0)], axis=1)
 
 
-def _down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _down(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """The ways up of the leaves of blocks: g, place, id and path."""
     for batch in batches:
         for row in batch.to_pylist():
             ways = _ways(row)
-            place = np.arange(len(ways)) + BLOCK * row["block"]
+            place = np.arange(len(ways)) + size * row["block"]
             yield pa.RecordBatch.from_pydict({
                 "g": pa.array([row["g"]] * len(ways), pa.string()), "block": pa.array(place, pa.int64()),
                 "id": pa.array(row["ids"] or [None] * len(ways), pa.string()),
@@ -303,7 +303,12 @@ def _down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             })
 
 
-def with_paths(passes: list[DataFrame]) -> DataFrame:
+def _leaf_ways(blocks: DataFrame, depth: int) -> DataFrame:
+    size = FAN**depth
+    return blocks.mapInArrow(lambda x: _down(x, size), "g string, block long, id string, path binary")
+
+
+def with_paths(passes: list[DataFrame], depth: int) -> DataFrame:
     """The blocks of the first pass with ``path``, the way from their heads up."""
     paths = None
     for blocks in reversed(passes):
@@ -311,7 +316,7 @@ def with_paths(passes: list[DataFrame]) -> DataFrame:
             found = blocks.withColumn("path", F.lit(b""))
         else:
             found = blocks.join(paths, ["g", "block"], "left").withColumn("path", F.coalesce("path", F.lit(b"")))
-        paths = found.mapInArrow(_down, "g string, block long, id string, path binary").select("g", "block", "path")
+        paths = _leaf_ways(found, depth).select("g", "block", "path")
     return found
 
 
@@ -324,7 +329,8 @@ def leaf(columns: list[Column]) -> Column:
     return F.unhex(F.sha2(F.concat(*items), 256))
 
 
-def manifest(docs: DataFrame, changed: Column, group: str = "source", id_col: str = "doc_id") -> DataFrame:
+def manifest(docs: DataFrame, changed: Column, group: str = "source", id_col: str = "doc_id",
+             depth: int = DEPTH) -> DataFrame:
     """Per row of ``docs``: doc_id, leaf, subroot, root, proof_sha256, folded_root and verified.
 
     ``changed`` is the text a copy of the dataset holds; it is verified against the root.
@@ -336,16 +342,16 @@ def manifest(docs: DataFrame, changed: Column, group: str = "source", id_col: st
         F.col(id_col).alias("o"), F.col(id_col).cast("string").alias("id"),
         leaf([*columns, F.col("text")]).alias("leaf"), leaf([*columns, changed]).alias("other"),
     ))
-    passes = forest(rows, ["o", "leaf"])
-    subroots = passes[0].where(F.col("total") <= BLOCK).select("g", "head")
+    passes = forest(rows, ["o", "leaf"], depth)
+    subroots = passes[0].where(F.col("total") <= FAN**depth).select("g", "head")
     for blocks in passes[1:]:
-        subroots = subroots.unionByName(blocks.where(F.col("total") <= BLOCK).select("g", "head"))
+        subroots = subroots.unionByName(blocks.where(F.col("total") <= FAN**depth).select("g", "head"))
     subroots = materialize(subroots)
     above = forest(subroots.select(
         F.lit("").alias("g"), F.col("g").alias("id"), F.col("head").alias("leaf"), F.col("head").alias("other")
-    ), ["id"])
+    ), ["id"], depth)
     top = above[-1].select("head").first()
-    ways = with_paths(above).mapInArrow(_down, "g string, block long, id string, path binary")
+    ways = _leaf_ways(with_paths(above, depth), depth)
     sources = ways.select(F.col("id").alias("g"), F.col("path").alias("top")).join(
         subroots.withColumnRenamed("head", "subroot"), "g"
     )
@@ -366,7 +372,7 @@ def manifest(docs: DataFrame, changed: Column, group: str = "source", id_col: st
                     "verified": pa.array([x == root for x in folded], pa.bool_()),
                 })
 
-    return with_paths(passes).join(sources, "g").mapInArrow(
+    return with_paths(passes, depth).join(sources, "g").mapInArrow(
         check, "id string, leaf string, subroot string, root string, proof_sha256 string, "
         "folded_root string, verified boolean"
     ).select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "leaf", "subroot", "root",

@@ -8,6 +8,7 @@ from versus.llm.langid import op5_langid
 from versus.llm.licenses import op9_licenses
 from versus.llm.line_dedup import op3_line_dedup
 from versus.llm.lm import op1_lm_score
+from versus.llm.merkle import op12_manifest
 from versus.llm.near_dedup import ORACLE as NEAR_ORACLE
 from versus.llm.near_dedup import op10_near_dedup
 from versus.llm.packing import op6_packing
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_near_dedup": op10_near_dedup,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_manifest": op12_manifest,
 }
 
 ORACLE: dict[str, str] = {**QUALITY_ORACLE, **NEAR_ORACLE}
