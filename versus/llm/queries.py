@@ -11,6 +11,8 @@ from versus.llm.lm import op1_lm_score
 from versus.llm.merkle import op12_manifest
 from versus.llm.near_dedup import ORACLE as NEAR_ORACLE
 from versus.llm.near_dedup import op10_near_dedup
+from versus.llm.negatives import ORACLE as NEGATIVE_ORACLE
+from versus.llm.negatives import op13_hard_negatives
 from versus.llm.packing import op6_packing
 from versus.llm.pii import op8_pii
 from versus.llm.quality import ORACLE as QUALITY_ORACLE
@@ -30,6 +32,7 @@ QUERIES = {
     "op10_near_dedup": op10_near_dedup,
     "op11_suffix_dedup": op11_suffix_dedup,
     "op12_manifest": op12_manifest,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLE: dict[str, str] = {**QUALITY_ORACLE, **NEAR_ORACLE}
+ORACLE: dict[str, str] = {**QUALITY_ORACLE, **NEAR_ORACLE, **NEGATIVE_ORACLE}
