@@ -343,7 +343,7 @@ def _searched(spark, d, n_folds: int, settings, metrics: tuple[str, ...]) -> Dat
     )
 
 
-def cv_grid(spark, d):
+def decision_tree_grid(spark, d):
     """A decision tree on 5 to 100 percent of the features, ten folds, then the best refitted."""
     return _searched(spark, d, 10, M.tree_settings(CLASSES, TREE_PERCENTILES), ("accuracy",))
 
@@ -444,7 +444,7 @@ QUERIES = {
     **{k: _classifier(k) for k in MODEL_KINDS},
     "bernoulli_nb": bernoulli_nb,
     "ovo_vote": ovo_vote,
-    "cv_grid": cv_grid,
+    "decision_tree_grid": decision_tree_grid,
     "svc_grid": svc_grid,
     "knn_ovr": knn_ovr,
     "embed_char_idf": embed_char_idf,
@@ -635,12 +635,26 @@ def _cv_ctes() -> tuple[str, ...]:
     )
 
 
+#: Scores and cuts of the rows outside each fold, from ``own`` (id, dim, v, label, fold) and ``folds``.
+_SHARES = "[" + ", ".join(map(str, GRID_PERCENTILES)) + "]"
+_CUTS = "[" + ", ".join(str((100.0 - p) / 100.0) for p in GRID_PERCENTILES) + "]"
+FOLD_SCORES = (
+    """sums AS (SELECT fold, dim, label, count(*) AS n, sum(v) AS s, sum(v * v) AS ss FROM own GROUP BY ALL)""",
+    """rest AS (SELECT h.fold, dim, label, sum(n) AS n, sum(s) AS s, sum(ss) AS ss
+  FROM (SELECT DISTINCT fold FROM folds) h JOIN sums ON sums.fold <> h.fold GROUP BY ALL)""",
+    """dim_rest AS (SELECT fold, dim, sum(n) AS n, count(*) AS k, sum(s) AS s, sum(ss) AS ss,
+  sum(s * s / n) AS b FROM rest GROUP BY ALL)""",
+    """scores AS (SELECT fold, dim, ((b - s * s / n) / (k - 1)) / ((ss - b) / (n - k)) AS f,
+  sqrt((ss - s * s / n) / (n - 1)) AS sd FROM dim_rest)""",
+    f"""cuts AS (SELECT fold, unnest({_SHARES}) AS percentile, unnest(cuts) AS cut
+  FROM (SELECT fold, quantile_cont(f, {_CUTS}) AS cuts FROM scores GROUP BY fold))""",
+)
+
+
 def _grid_sql() -> str:
     """Each pair's differences are put in the order of the fold's scores; a share of the
     dimensions is then the head of that list."""
     weights = "[" + ", ".join(str(w) for w in METRIC_WEIGHTS) + "]"
-    shares = "[" + ", ".join(map(str, GRID_PERCENTILES)) + "]"
-    cuts = "[" + ", ".join(str((100.0 - p) / 100.0) for p in GRID_PERCENTILES) + "]"
     dims = f"range(1, {DIM + 1})"
     head = "[1:n]"
     distances = {
@@ -663,18 +677,12 @@ def _grid_sql() -> str:
         f"""folds AS (SELECT id, {rank} AS fold FROM (SELECT vec_id AS id,
   row_number() OVER (ORDER BY vec_id) - 1 AS r, count(*) OVER () AS n FROM embeddings))""",
         "own AS (SELECT u.*, fold FROM unit u JOIN folds USING (id))",
-        """sums AS (SELECT fold, dim, label, count(*) AS n, sum(v) AS s, sum(v * v) AS ss FROM own GROUP BY ALL)""",
-        """rest AS (SELECT h.fold, dim, label, sum(n) AS n, sum(s) AS s, sum(ss) AS ss
-  FROM (SELECT DISTINCT fold FROM folds) h JOIN sums ON sums.fold <> h.fold GROUP BY ALL)""",
-        """dim_rest AS (SELECT fold, dim, sum(n) AS n, count(*) AS k, sum(s) AS s, sum(ss) AS ss,
-  sum(s * s / n) AS b FROM rest GROUP BY ALL)""",
-        """scores AS (SELECT fold, dim, ((b - s * s / n) / (k - 1)) / ((ss - b) / (n - k)) AS f,
-  sqrt((ss - s * s / n) / (n - 1)) AS sd FROM dim_rest)""",
+        *FOLD_SCORES[:4],
         """orders AS (SELECT fold, list(dim + 1 ORDER BY f DESC) AS o, list(sd ORDER BY f DESC) AS sd FROM scores
   GROUP BY fold)""",
-        f"""shares AS (SELECT fold, percentile, count(*) FILTER (percentile >= 100 OR f > cut) AS n FROM scores
-  JOIN (SELECT fold, unnest({shares}) AS percentile, unnest(cuts) AS cut
-    FROM (SELECT fold, quantile_cont(f, {cuts}) AS cuts FROM scores GROUP BY fold)) USING (fold) GROUP BY ALL)""",
+        FOLD_SCORES[4],
+        """shares AS (SELECT fold, percentile, count(*) FILTER (percentile >= 100 OR f > cut) AS n FROM scores
+  JOIN cuts USING (fold) GROUP BY ALL)""",
         """points AS (SELECT id, any_value(label) AS label, any_value(fold) AS fold, list(v ORDER BY dim) AS v
   FROM own GROUP BY id)""",
         f"""pairs AS (SELECT q.id, q.fold, q.label AS truth, t.id AS train_id, t.label, o, sd,
