@@ -94,3 +94,13 @@ def test_terms_of_pooled_values_anywhere_in_the_document(spark):
     for i, text in rows:
         want = {"Quux"} if i < 4 else {"call"} if i < 20 else set()
         assert {text[s.start : s.end] for s in got[i] if s.kind == 4} == want
+
+
+def test_long_runs_of_digits_and_parts(spark):
+    texts = ["x 1.1.1." + "7" * 5000, "1" * 1_000_000, "0" * 6000 + "1.2.3.004", ("9" * 40_000 + ".") * 5, "1.2.3.4.5.6.7.8 1.2.3"]
+    assert pii.base_spans(texts[0]) == [] and pii.base_spans(texts[1]) == []
+    assert pii.base_spans(texts[2]) == [(0, 1, 6009)]
+    assert pii.base_spans(texts[4]) == [(0, 1, 7), (8, 1, 15)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: len(r.spans) for r in pii.find_personal_data(df).collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 0, 4: 2}

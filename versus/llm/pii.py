@@ -50,7 +50,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
+# A match never begins inside a run of digits: the run's start would match as well.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -84,7 +85,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     found = [(a, 0, b) for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(int(part) <= 255 for part in m[0].split(".")):
+            parts = [part.lstrip("0") or "0" for part in m[0].split(".")]
+            if all(len(part) <= 3 and int(part) <= 255 for part in parts):
                 found.append((m.start(), 1, m.end()))
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
@@ -218,8 +220,14 @@ def disclosing(docs: DataFrame, found: DataFrame, threshold: float, support: int
     ).first()[0]
     counts = term_counts(docs, held).where(F.col("n_term") <= (most or 0) * (1 + 1e-9) + 1e-9)
     counts = materialize(counts)
+    # entities of too few texts go before they are paired with the terms
+    known = (
+        texts.select("digest", F.explode("entities").alias("entity"))
+        .join(entities.select("entity"), "entity", "left_semi")
+        .groupBy("digest").agg(F.collect_list("entity").alias("entities"))
+    )
     both = (
-        _only(texts, counts.select("term"))
+        _only(texts.drop("entities").join(known, "digest"), counts.select("term"))
         .select("copies", "term", F.explode("entities").alias("entity"))
         .groupBy("entity", "term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("n_texts"))
         .where(F.col("n_texts") >= support).drop("n_texts")
