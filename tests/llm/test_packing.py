@@ -16,7 +16,6 @@ def packed(df, **kw):
 
 def check(rows, pieces, length=1024):
     t = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     want = {d: [*t.encode(x or "", add_special_tokens=False).ids, 0] for d, x, *_ in rows}
     by_doc, by_seq = {}, {}
     for p in pieces:
@@ -66,3 +65,10 @@ def test_targets_nulls_and_few_queues(spark):
     check(rows, packed(df, targets={"a": 3.0, None: 1.0}, length=64, window=128), 64)
     check(rows, packed(df, named_queues=1, length=64), 64)
     assert packed(df.limit(0)) == []
+
+
+def test_added_tokens_and_odd_characters(spark):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x \n<|endoftext|>  <|endoftext|>y", "<|endoftext", "\x00\x7f\xad\xa0 ÿ", "日本語  🙂🙂 é",
+             "it's  we'll\t\n 12345", " " * 50, "\u200b\ufeff\x1c\x1f"]
+    rows = [(i, t, "s") for i, t in enumerate(texts)]
+    check(rows, packed(spark.createDataFrame(rows, "doc_id long, text string, source string")))

@@ -19,6 +19,7 @@ Repeated rows are packed each; an empty table gives no pieces; further columns a
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,7 +38,7 @@ from versus.session import materialize
 OTHER_QUEUES = 16
 _RUN = 20_000  # windows worked out at a time
 
-_encoders: dict[tuple, PreTokenEncoder] = {}
+_encoders: dict[tuple, _Encoder] = {}
 
 
 def _encoder(path: str, pattern: str) -> PreTokenEncoder:
@@ -46,15 +47,52 @@ def _encoder(path: str, pattern: str) -> PreTokenEncoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        model = tokenizer.model
+        added = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized
+               for t in tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("added tokens must be plain text")
 
         def new(parts: list[str]) -> list[list[int]]:
-            return [e.ids for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+            # a pre-token goes to the merges directly, its bytes written as the vocabulary has them
+            written = (p.encode().decode("latin-1").translate(_WRITTEN) for p in parts)
+            return [[t.id for t in model.tokenize(w)] for w in written]
 
-        _encoders[path, pattern] = PreTokenEncoder(pattern, new)
+        _encoders[path, pattern] = _Encoder(PreTokenEncoder(pattern, new), added)
     return _encoders[path, pattern]
 
 
+def _written() -> dict[int, int]:
+    """Bytes as characters: printable ones are themselves, the others follow from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 0x100 + i for i, b in enumerate(rest)}
+
+
+_WRITTEN = _written()
+
+
+class _Encoder:
+    """Texts to ids: first the tokenizer's added tokens are found, then what is between them is
+    encoded by pre-tokens."""
+
+    def __init__(self, plain: PreTokenEncoder, added: dict[str, int]):
+        self.plain, self.added = plain, added
+        longest = sorted(added, key=len, reverse=True)
+        self.split = re.compile("(" + "|".join(map(re.escape, longest)) + ")").split if added else None
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.split or not any(a in t for t in texts for a in self.added):
+            return self.plain.encode(texts)
+        parts = [self.split(t) for t in texts]
+        between = iter(self.plain.encode([x for p in parts for x in p[::2]]))
+        out = []
+        for p in parts:
+            ids = [next(between) if i % 2 == 0 else np.array([self.added[x]], "<u4").tobytes() for i, x in enumerate(p)]
+            out.append(b"".join(ids))
+        return out
+
+
 def tokenise(docs: DataFrame, tokenizer: str, pattern: str, end_id: int = 0) -> DataFrame:
     """doc_id, queue, chunk (the task), at (tokens of the queue before it in the chunk), n, ids."""
     docs.sparkSession.sparkContext.addFile(tokenizer)
