@@ -106,15 +106,22 @@ def _runs(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _ties(keys: np.ndarray, ids: np.ndarray, low: np.ndarray) -> pa.RecordBatch:
+    """(x, y, keys): the pairs of a member and the smallest one, each once with all its keys."""
     own = ids != low
+    order = np.lexsort((keys[own], ids[own], low[own]))
+    keys, x, y = keys[own][order], ids[own][order], low[own][order]
+    new = np.ones(len(x), bool)
+    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    first = np.flatnonzero(new)
+    packed = [keys[a:b].tobytes() for a, b in zip(first, np.append(first, len(x))[1:], strict=True)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys[own].view(np.int64)), pa.array(ids[own]), pa.array(low[own])],
-        names=["key", "x", "y"],
+        [pa.array(x[first]), pa.array(y[first]), pa.array(packed, pa.binary())], names=["x", "y", "keys"]
     )
 
 
 def ties(classes: DataFrame) -> DataFrame:
-    """(key, x, y): classes that meet under a key; every member but the smallest is an x once."""
+    """(x, y, keys): classes that meet under keys; every member but the smallest is an x. A pair is
+    one row for each task that finds it, whatever the number of its keys."""
     shards = buckets(classes, least=128)
     shift = np.uint64(64 - (shards.bit_length() - 1))
 
@@ -126,46 +133,58 @@ def ties(classes: DataFrame) -> DataFrame:
                 keys = table_keys(bands.reshape(-1, 2 * WIDTH))
                 ids = np.repeat(part.column(0).to_numpy(), keys.shape[1])
                 keys, ids, low = _runs(keys.ravel(), ids)
-                local = _ties(keys, ids, low)
+                yield _ties(keys, ids, low)
                 one = ids == low  # one entry per key leaves the task
                 keys, ids = keys[one], ids[one]
-                ends = np.searchsorted(keys >> shift, np.arange(shards + 1, dtype=np.uint64))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([*range(shards), -1], pa.int64()),
-                        pa.array([*(keys[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)),
-                                  local.column(0).to_numpy().tobytes()], pa.binary()),
-                        pa.array([*(ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)),
-                                  local.column(1).to_numpy().tobytes()], pa.binary()),
-                        pa.array([*(b"" for _ in range(shards)),
-                                  local.column(2).to_numpy().tobytes()], pa.binary()),
-                    ],
-                    names=["bucket", "keys", "x", "y"],
-                )
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, x, y in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(b, "<i8")) for b in (keys, x, y)], names=["key", "x", "y"]
-                )
+                own, first = np.unique(keys >> shift, return_index=True)
+                ends = [*first[1:], len(keys)]
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array(own.astype(np.int64)),
+                    "keys": pa.array([keys[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
+                    "ids": pa.array([ids[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
+                })
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The ties of a task, and what goes to the shards of keys, in rows of one schema."""
+        kinds = pa.schema([("bucket", pa.int64()), ("ids", pa.binary()), ("x", pa.int64()), ("y", pa.int64()),
+                           ("keys", pa.binary())])
+        for part in spread(batches):
+            yield pa.RecordBatch.from_arrays(
+                [part.column(f.name) if f.name in part.schema.names else pa.nulls(part.num_rows, f.type) for f in kinds],
+                schema=kinds,
+            )
 
     def meet(parts: pd.DataFrame) -> pd.DataFrame:
         keys = np.frombuffer(b"".join(parts["keys"]), "<u8")
-        ids = np.frombuffer(b"".join(parts["x"]), "<i8")
+        ids = np.frombuffer(b"".join(parts["ids"]), "<i8")
         return _ties(*_runs(keys, ids)).to_pandas()
 
     dealt = materialize(
-        classes.select("rep", "bands").mapInArrow(
-            spread, "bucket long, keys binary, x binary, y binary"
-        )
+        classes.select("rep", "bands").mapInArrow(both, "bucket long, ids binary, x long, y long, keys binary")
+    )
+    inner = dealt.where("bucket is null").select("x", "y", "keys")
+    outer = dealt.where("bucket is not null").select("bucket", "keys", "ids").groupBy("bucket").applyInPandas(
+        meet, "x long, y long, keys binary"
     )
-    schema = "key long, x long, y long"
-    inner = dealt.where("bucket = -1").select("keys", "x", "y").mapInArrow(unpack, schema)
-    outer = dealt.where("bucket >= 0").groupBy("bucket").applyInPandas(meet, schema)
     return materialize(inner.unionByName(outer))
 
 
+def _unfolded(met: DataFrame) -> DataFrame:
+    """(key, x, y, cx, cy) of ties (x, y, cx, cy, keys)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [np.frombuffer(k.as_buffer(), "<i8") for k in batch.column(4)]
+            if keys:
+                at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys)), *(batch.column(i).take(at) for i in range(4))],
+                    names=["key", "x", "y", "cx", "cy"],
+                )
+
+    return met.select("x", "y", "cx", "cy", "keys").mapInArrow(run, "key long, x long, y long, cx long, cy long")
+
+
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
@@ -203,7 +222,11 @@ def _labelled(pairs: DataFrame, component: DataFrame) -> DataFrame:
 
 def _rest(met: DataFrame, component: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links between components that share a key of three or more classes."""
-    labelled = _labelled(met, component)
+    labelled = materialize(_labelled(met, component))
+    across = labelled.where("cx <> cy")
+    live = across.select("cx").unionByName(across.select(F.col("cy").alias("cx"))).distinct()
+    # the keys of components that meet no other are never unfolded
+    labelled = materialize(_unfolded(labelled.join(live, "cx", "left_semi")))
     mixed = (
         labelled.groupBy("key")
         .agg(
@@ -214,7 +237,7 @@ def _rest(met: DataFrame, component: DataFrame, full: DataFrame, percent: int) -
         .where("n >= 2 and low <> high")
         .select("key")
     )
-    cluster = connected(met.join(mixed, "key", "left_semi").select("x", "y"))
+    cluster = connected(labelled.join(mixed, "key", "left_semi").select("x", "y"))
     label = component.select("id", F.col("component").alias("own"))
     members = materialize(
         cluster.withColumnRenamed("component", "cluster")
