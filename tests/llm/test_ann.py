@@ -60,3 +60,14 @@ def test_outliers_get_all_neighbours(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = ann.search(df, F.col("id") % 20 == 0).collect()
     assert {(r.query_id, r["rank"]) for r in got} == {(i, k + 1) for i, _ in rows if i % 20 == 0 for k in range(20)}
+
+
+def test_repeated_query_rows_ask_once(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(90)]
+    df = spark.createDataFrame([*rows, rows[40], rows[40]], "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in ann.search(df, F.col("id") % 20 == 0, neighbours=9, recall=1.0).collect())
+    plain = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    one = sorted(tuple(r) for r in ann.search(plain, F.col("id") % 20 == 0, neighbours=9, recall=1.0).collect())
+    assert [r for r in got if r[0] == 40] == [r for r in one if r[0] == 40]
+    assert len({r[2] for r in got if r[0] == 40}) == 9

@@ -18,7 +18,8 @@ hash of the id, queries likewise: a hot leaf becomes many blocks. A block return
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
 those whose length is not the most frequent one. Equal scores are ranked by the smaller id. Rows of
-one id are candidates each, except for the query of that id. A row without id takes no part.
+one id are candidates each, except for the query of that id; as queries they are one, with the
+smallest of their vectors. A row without id takes no part.
 """
 
 from __future__ import annotations
@@ -233,7 +234,8 @@ def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
     indexed = materialize(
         good.mapInArrow(place, "id long, v array<double>, leaf long, part long")
     )
-    queries = indexed.where(is_query).select("id", "v")
+    # rows of one id ask once, by the smallest of their vectors
+    queries = materialize(indexed.where(is_query).groupBy("id").agg(F.min("v").alias("v")))
     leaves = _calibrate(queries, indexed, tree.value, neighbours, recall)
     held_by = np.zeros(tree.value.leaves, np.int64)
     for row in indexed.groupBy("leaf").count().collect():  # bounded, as the tree is
@@ -257,8 +259,9 @@ def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
                 names=["id", "v", "part", "leaves"],
             )
 
-    copies = queries.groupBy("id").agg(F.count("*").alias("copies"))
-    visits = queries.join(copies, "id").select("id", "v", "copies").mapInArrow(visit, "id long, v array<double>, part long, leaves array<long>")
+    copies = indexed.where(is_query).groupBy("id").agg(F.count("*").alias("copies"))
+    dealt = queries.join(copies, "id").repartition(spark.sparkContext.defaultParallelism, "id")
+    visits = dealt.select("id", "v", "copies").mapInArrow(visit, "id long, v array<double>, part long, leaves array<long>")
     sizes = indexed.groupBy("part").agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"))
     sizes = sizes.select(
         "part", F.ceil(F.col("n") / BLOCK).alias("blocks"),
