@@ -37,7 +37,8 @@ def scale_and_normalize(df: DataFrame, dim: int, fit: Column | None = None) -> D
 
 
 def anova_f(df: DataFrame, label: str = "label", col: str = "features") -> DataFrame:
-    """(dim, f): between-class over within-class variance of every dimension."""
+    """(dim, f): between-class over within-class variance of every dimension; null where there is
+    one class only, or a class for every row, or no variance inside the classes."""
     values = df.select(label, F.posexplode(col).alias("dim", "v"))
     v = F.col("v")
     classes = values.groupBy("dim", label).agg(
@@ -51,8 +52,8 @@ def anova_f(df: DataFrame, label: str = "label", col: str = "features") -> DataF
         F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between"),
     )
     correction = F.col("s") * F.col("s") / F.col("n")
-    between = (F.col("between") - correction) / (F.col("k") - 1)
-    within = (F.col("ss") - F.col("between")) / (F.col("n") - F.col("k"))
+    between = F.try_divide(F.col("between") - correction, F.col("k") - 1)
+    within = F.try_divide(F.col("ss") - F.col("between"), F.col("n") - F.col("k"))
     return per_dim.select("dim", F.try_divide(between, within).alias("f"))
 
 

@@ -30,28 +30,31 @@ def run_to_end(counts: DataFrame, checkpoint: str | None = None) -> DataFrame:
     """Process all available input and return the last state of the counts as a stored table.
 
     Every batch writes a whole new table under its own number, so a repeated batch after a lost
-    driver replaces its own output and no reader sees a half-written one.
+    driver replaces its own output and no reader sees a half-written one. With a ``checkpoint``
+    folder the tables are kept there, beside the stream's state: a later run goes on from both,
+    and one that finds nothing new returns the state it found.
     """
     spark = counts.sparkSession
-    base = scratch_dir(spark)
-    last = {"path": None}
+    base = checkpoint or scratch_dir(spark)
+    out = f"{base}/counts"
 
     def store(batch: DataFrame, number: int) -> None:
-        path = f"{base}/out/batch={number}"
-        batch.write.mode("overwrite").parquet(path)
-        last["path"] = path
+        batch.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{out}/{number}")
 
     query = (
         counts.writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint or f"{base}/checkpoint")
+        .option("checkpointLocation", f"{base}/checkpoint")
         .foreachBatch(store)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    if last["path"] is None:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(out)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], counts.schema)
-    return spark.read.schema(counts.schema).parquet(last["path"])
+    stored = spark.read.schema(counts.schema.add("batch", "long")).option("recursiveFileLookup", "true").parquet(out)
+    return stored.where(F.col("batch") == stored.agg(F.max("batch")).scalar()).drop("batch")
 
 
 def stream_judgements(
