@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from versus.operators.bitmap import build_filter, may_hold
+
 # A lookup table of at most this many rows and bytes is broadcast.
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -53,7 +55,8 @@ def lookup(
     """Join ``rows`` with a stored ``table`` (``how``: inner or left).
 
     A table of few rows and bytes, both counted, is broadcast. A larger one is shuffled with the
-    rows, which pass once: rows of hot keys get their entries from a broadcast (a bounded number of
+    rows, which pass once; in an inner join a bitmap of fixed size drops most rows without an entry
+    before that: rows of hot keys get their entries from a broadcast (a bounded number of
     keys with a bounded number of entries each) and are spread in the shuffle, like rows without a
     key. ``hot`` gives the hot keys when the caller knows them already; its size must be bounded
     like that of ``hot_keys``.
@@ -61,6 +64,8 @@ def lookup(
     n_rows, n_bytes = table_size(table)
     if n_rows <= max_broadcast_rows and n_bytes <= max_broadcast_bytes:
         return rows.join(F.broadcast(table), on, how)
+    if how == "inner":
+        rows = may_hold(rows, build_filter(table, on), on)
     hot = F.broadcast((hot_keys(rows, on) if hot is None else hot).distinct())
     values = [c for c in table.columns if c not in on]
     entries = (

@@ -76,6 +76,33 @@ def freq_share(spark, d):
     )
 
 
+def _parts(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Sentences of documents with an odd id, and frequencies of those with an even id."""
+    words = materialize(X.word_triples(spark, d).select("id", "doc_id", "h1", "h2"))
+    return words.where("doc_id % 2 = 1"), FQ.build_frequencies(words.where("doc_id % 2 = 0"))
+
+
+def foreign_share(spark, d):
+    """Shares of one part of the corpus by the frequencies of the other: many grams are missing."""
+    words, freq = _parts(spark, d)
+    # beyond the broadcast limits on purpose: the way that large tables take
+    out = FQ.shares(words, freq, max_broadcast_rows=0)
+    return out.select(
+        "id", "side", *[r6(F.get("share", F.lit(n - 1))).alias(f"share_{n}") for n in FQ.ORDERS],
+        *[r6(F.get("quartile_share", F.lit((n - 1) * 4))).alias(f"first_quarter_{n}") for n in FQ.ORDERS],
+    )
+
+
+def missing_grams(spark, d):
+    """Per order: occurrences of grams in one part, and those the other part does not have."""
+    words, freq = _parts(spark, d)
+    grams = FQ.explode_grams(words, ["h1", "h2"], max(FQ.ORDERS))
+    held = grams.join(freq.select("n", "gram", F.lit(1).alias("hit")), ["n", "gram"], "left")
+    return held.groupBy("n").agg(
+        F.count(F.lit(1)).alias("n_grams"), F.sum(F.when(F.col("hit").isNull(), 1).otherwise(0)).alias("n_missing")
+    )
+
+
 def quartile_share(spark, d):
     out = _shares(spark, d)
     return out.select(
@@ -186,6 +213,8 @@ QUERIES = {
     "quartile_mass": quartile_mass,
     "freq_share": freq_share,
     "quartile_share": quartile_share,
+    "foreign_share": foreign_share,
+    "missing_grams": missing_grams,
     "char_ngram_prf": char_ngram_prf,
     "word_ngram_prf": word_ngram_prf,
     "pos_ngram_prf": pos_ngram_prf,
@@ -223,6 +252,11 @@ def _hyp_grams(max_n: int = 4) -> str:
 
 _CORPUS = ",".join([O.TRIPLES, WORDS, _hyp_grams(), _FREQ])
 _CORPUS_RANKED = _CORPUS + "," + _RANKED
+#: Frequencies of the documents with an even id.
+_ODD = "id // 1000000 % 2 = 1"
+_FOREIGN = ",".join([O.TRIPLES, WORDS, _hyp_grams(), f"""
+corpus AS (SELECT n, g AS gram, sum(c)::BIGINT AS cnt FROM gram_counts WHERE NOT ({_ODD}) GROUP BY ALL)"""])
+_FOREIGN_RANKED = _FOREIGN + "," + _RANKED
 
 _SHARES = f"""
 distincts AS (SELECT n, count(*) AS k FROM corpus GROUP BY n),
@@ -412,6 +446,17 @@ FROM corpus GROUP BY ALL""",
     "quartile_mass": O.with_ctes(
         _CORPUS_RANKED, "SELECT n, quartile, sum(cnt)::BIGINT AS mass FROM freq GROUP BY ALL"
     ),
+    "foreign_share": O.with_ctes(
+        _FOREIGN_RANKED,
+        _SHARES,
+        f"""SELECT id, side, {', '.join(f'round(share_{n}, 6) AS share_{n}' for n in FQ.ORDERS)},
+  {', '.join(f'round(share_{n}_1, 6) AS first_quarter_{n}' for n in FQ.ORDERS)} FROM shares WHERE {_ODD}""",
+    ),
+    "missing_grams": O.with_ctes(
+        _FOREIGN,
+        f"""SELECT g.n::INTEGER AS n, sum(g.c)::BIGINT AS n_grams, coalesce(sum(g.c) FILTER (f.gram IS NULL), 0)::BIGINT AS n_missing
+FROM gram_counts g LEFT JOIN corpus f ON f.n = g.n AND f.gram = g.g WHERE {_ODD} GROUP BY g.n""",
+    ),
     "freq_share": O.with_ctes(
         _CORPUS_RANKED,
         _SHARES,
