@@ -66,7 +66,8 @@ def grow(
     """
     if max_depth > DEEPEST:
         raise ValueError(f"trees of more than {DEEPEST} levels cannot be numbered")
-    dims = dims.withColumn("draws", F.greatest(F.lit(1), F.floor(F.sqrt(F.size("dims"))).cast("int")))
+    cells, points = cells.select("forest", "id", "label", "train"), points.select("id", "features")
+    dims = dims.select("forest", "dims").withColumn("draws", F.greatest(F.lit(1), F.floor(F.sqrt(F.size("dims"))).cast("int")))
     draws = dims.agg(F.max("draws")).first()[0] or 1
     places = range(draws)
     at = materialize(
