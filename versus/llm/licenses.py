@@ -2,17 +2,19 @@
 
 A candidate block is a line that contains a word of licence language, with twice as many words
 around it as the longest template has, whatever the line ends between them; blocks that meet are
-one. A template is compared word by word where a part of a block holds enough of its words: the
-differences decide whether the template is present, and they are the result: words of the template
-that are missing, words of the block that are added. It is confirmed if at most ``MAX_MISSING`` of
-its words are missing, and no more words are added than it has, unless all lines from the first to
-the last word found hold licence language. What stands around it does not count against it. The
-template with the smallest share of differences has its words, then the longer, then the first by
-name; what remains on both sides is searched again until nothing is
-confirmed, so any number of notices are found, also of one template.
-
-Parts with a match are compressed by zstandard alone and with each template as a raw dictionary;
-``saved`` is what the template saves, as a share of the part's own compressed size.
+one. The words of a part of a block are compressed by zstandard alone and with each template as a raw
+dictionary. The template's words in alphabetical order, with no wording left, make a second dictionary
+that measures the noise: a template is a candidate only if it saves something, and no less than that. Candidates are taken
+by falling savings, and the first that is confirmed wins, or the one with the smallest share of
+differences of those that save nearly as much (``NEAR`` bytes).
+
+Exact wording differences confirm a candidate, and they are the result: words of the template that
+are missing, words of the block that are added. At most ``MAX_MISSING`` of its words may be missing,
+and no more words may be added than it has, unless all lines from the first to the last word found
+hold licence language. What stands around it does not count against it. A confirmed notice's words
+are taken out, and what remains on both sides is ranked again until nothing is confirmed, so any
+number of notices are found, also of one template. ``saved`` is what the template saves of the part
+it was found in, as a share of the part's own compressed size.
 
 Null text counts as empty. Documents without a candidate have no matches; each row is looked at
 on its own, whole; further columns are ignored.
@@ -33,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from versus.llm.common import table
 
 MAX_MISSING = 0.2
+NEAR = 8  # bytes by which savings of confirmed templates count as equal
 PART_WORDS = 512  # a longer block is scanned in parts that overlap by half
 
 # Short notices of well-known licences.
@@ -125,6 +128,12 @@ class Scanner:
         }
         self.words = {name: _WORD.findall(text.lower()) for name, text in templates.items()}
         self.counts = {name: Counter(words) for name, words in self.words.items()}
+        def given(words: list[str]):
+            data = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=raw)
+            return compressor(dict_data=data)
+
+        self.given_words = {name: given(words) for name, words in self.words.items() if words}
+        self.noise = {name: given(sorted(words)) for name, words in self.words.items() if words}
         self.reach = 2 * max(map(len, self.words.values()), default=0)
 
     def rank(self, block: str) -> list[tuple[str, float]]:
@@ -134,6 +143,33 @@ class Scanner:
         saved = {name: 1 - len(c.compress(data)) / own for name, c in self.given.items()}
         return sorted(saved.items(), key=lambda x: (-x[1], x[0]))
 
+    def candidates(self, words: list[str]) -> list[tuple[int, str]]:
+        """(bytes saved, template), most first, of the templates that save something, and no less
+        of the text than their words in alphabetical order do. They are tried on the whole range
+        and on windows of four times their length, each of which any notice fits in whole."""
+        out = []
+        count = Counter(words)
+        for name, given in self.given_words.items():
+            if not self._enough(name, count):
+                continue
+            size, gains = max(24, 4 * len(self.words[name])), []
+            for at in [None, *range(0, len(words) - size // 2, size // 2)]:
+                part = words if at is None else words[at : at + size]
+                if at is None or self._enough(name, Counter(part)):
+                    text = " ".join(part).encode()
+                    alone = len(self.alone.compress(text))
+                    gain = alone - len(given.compress(text))
+                    if gain >= max(1, alone - len(self.noise[name].compress(text))):
+                        gains.append(gain)
+            if gains:
+                out.append((max(gains), name))
+        return sorted(out, key=lambda x: (-x[0], x[1]))
+
+    def _enough(self, name: str, count: Counter) -> bool:
+        """Whether so many of the template's words are there that it may be confirmed."""
+        held = sum(min(k, count[w]) for w, k in self.counts[name].items())
+        return len(self.words[name]) - held <= MAX_MISSING * len(self.words[name])
+
     def differences(self, name: str, words: list[str]) -> tuple[list[str], list[str], int, int]:
         """Words of the template missing in the block, words added between those found, and the
         range of the block's words from the first to the last found."""
@@ -166,14 +202,14 @@ class Scanner:
         return int(base - 1 - row[end] % base), end
 
     def best(self, text: Words, low: int, high: int) -> tuple | None:
-        """The confirmed template with the smallest share of differences in a range of words."""
+        """The confirmed winner of the ranking of a range of words."""
         words = text.words[low:high]
-        count, hits = Counter(words), []
-        for name, own in self.counts.items():
+        hits: list[tuple] = []
+        least = 0
+        for gain, name in self.candidates(words):
+            if hits and gain < least:
+                break
             wanted = len(self.words[name])
-            # no more of the template's words can be found than the range holds
-            if wanted - sum(min(k, count[w]) for w, k in own.items()) > MAX_MISSING * wanted:
-                continue
             for a, b in (self.nearest(name, words), (0, len(words))):
                 missing, added, c, d = self.differences(name, words[a:b])
                 c, d = low + a + c, low + a + d
@@ -181,6 +217,7 @@ class Scanner:
                     len(added) <= wanted or text.all_signal(c, d)
                 ):
                     wrong = len(missing) + len(added)
+                    least = least if hits else gain - NEAR
                     hits.append((wrong / wanted, -wanted, name, c, d, missing, added))
                     break
         return min(hits, default=None)
