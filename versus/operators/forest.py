@@ -103,32 +103,33 @@ def grow(
 
 def _splits(at: DataFrame, dims: DataFrame, places: range, leaf: bool) -> DataFrame:
     seen = at.where("train")
+    ends = [(name, j) for j in places for name in ("low", "high")]
     per_label = seen.groupBy(*_KEY, "label").agg(
         F.count(F.lit(1)).alias("n"),
-        *(f(F.get("xs", F.lit(j))).alias(f"{name}{j}") for j in places for name, f in (("low", F.min), ("high", F.max))),
+        *((F.min if name == "low" else F.max)(F.get("xs", F.lit(j))).alias(f"{name}{j}") for name, j in ends),
     )
+    if leaf:
+        return per_label.groupBy(*_KEY).agg(
+            F.lit(None).cast("int").alias("dim"), F.lit(None).cast("double").alias("threshold"), _counts()
+        )
     ranges = per_label.groupBy(*_KEY).agg(
-        F.array_sort(F.collect_list(F.struct("label", "n"))).alias("counts"),
-        *(F.min(f"low{j}").alias(f"low{j}") for j in places),
-        *(F.max(f"high{j}").alias(f"high{j}") for j in places),
+        F.count(F.lit(1)).alias("labels"),
+        *((F.min if name == "low" else F.max)(f"{name}{j}").alias(f"{name}{j}") for name, j in ends),
     )
-    none = F.lit(None).cast("double")
-    if leaf:
-        return ranges.select(*_KEY, F.lit(None).cast("int").alias("dim"), none.alias("threshold"), "counts")
 
     def threshold(j: int) -> Column:
         low, high = F.col(f"low{j}"), F.col(f"high{j}")
         drawn = low + _share(_digest(F.col("node"), j), 9) * (high - low)
         # rounding must not leave the right half empty
-        return F.when((low < high) & (F.size("counts") > 1), F.when(drawn < high, drawn).otherwise(low))
+        return F.when((low < high) & (F.col("labels") > 1), F.when(drawn < high, drawn).otherwise(low))
 
-    tried = ranges.select(*_KEY, "counts", F.array(*map(threshold, places)).alias("thresholds"))
-    mixed = tried.where(F.size("counts") > 1).select(*_KEY, "thresholds")
-    left = (
-        seen.join(mixed, _KEY)
+    tried = ranges.select(*_KEY, F.array(*map(threshold, places)).alias("thresholds"))
+    halves = (
+        seen.join(tried, _KEY)
         .groupBy(*_KEY, "label")
         .agg(
             F.count(F.lit(1)).alias("n"),
+            F.first("thresholds").alias("thresholds"),
             *(F.sum((F.get("xs", F.lit(j)) <= F.get("thresholds", F.lit(j))).cast("long")).alias(f"left{j}") for j in places),
         )
     )
@@ -140,19 +141,21 @@ def _splits(at: DataFrame, dims: DataFrame, places: range, leaf: bool) -> DataFr
             F.sum(a * a).cast("double") / F.sum(a) + F.sum(b * b).cast("double") / F.sum(b), DIGITS
         )
 
-    best = left.groupBy(*_KEY).agg(
-        F.array_max(F.filter(
-            F.array(*(F.struct(purity(j).alias("purity"), F.lit(-j).alias("j")) for j in places)),
-            lambda x: x["purity"].isNotNull(),
-        )).alias("best")
-    ).select(*_KEY, (-F.col("best.j")).alias("j"))
-    picked = tried.join(best, _KEY, "left").join(dims, "forest")
+    tally = halves.groupBy(*_KEY).agg(
+        _counts(), F.first("thresholds").alias("thresholds"), *(purity(j).alias(f"purity{j}") for j in places)
+    )
+    each = F.array(*(F.struct(F.col(f"purity{j}").alias("purity"), F.lit(-j).alias("j")) for j in places))
+    best = -F.array_max(F.filter(each, lambda x: x["purity"].isNotNull()))["j"]
     drawn = _drawn(F.col("node"), len(places))
-    return picked.select(
-        *_KEY, F.get(drawn, F.col("j")).alias("dim"), F.get("thresholds", F.col("j")).alias("threshold"), "counts"
+    return tally.withColumn("best", best).join(dims, "forest").select(
+        *_KEY, F.get(drawn, F.col("best")).alias("dim"), F.get("thresholds", F.col("best")).alias("threshold"), "counts"
     )
 
 
+def _counts() -> Column:
+    return F.array_sort(F.collect_list(F.struct("label", "n"))).alias("counts")
+
+
 def _judged(reached: DataFrame) -> DataFrame:
     """The mean over trees of the leaves' class shares; the largest wins, ties to the smaller label."""
     total = F.aggregate("counts", F.lit(0).cast("long"), lambda acc, c: acc + c["n"])
