@@ -55,3 +55,17 @@ def test_odd_rows(spark):
     assert got[1].n_removed == 0 and got[2].text == "own" and got[6].emptied
     assert got[3].text is None and got[4].text == "" and not got[4].emptied and got[None].n_removed == 0
     assert got[5].n_removed == 0 and ld.dedup_lines(df.limit(0)).collect() == []
+
+
+def test_windows_come_from_their_fingerprints():
+    rng = random.Random(8)
+    text = "\n".join(f"line {rng.randrange(30)} of words" for _ in range(60))
+    lines = ld.Lines.of(text)
+    prints = lines.fingerprints(3, 12)
+    every = lines.around({i for _, i in prints}, 3, 12)
+    assert len(every) == len(lines.windows(3, 12)) and len(prints) < len(every)
+    assert lines.around(set(), 3, 12) == []
+    for _, i in prints:
+        own = lines.around({i}, 3, 12)
+        assert own and all(a <= i <= b for a, b, _, _ in own)
+        assert set(own) <= set(every)

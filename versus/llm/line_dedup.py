@@ -5,11 +5,12 @@ neighbouring lines counts if it has ``MIN_LINES`` lines or ``MIN_WORDS`` words.
 a shortest run that counts and ends one: these are the windows. The smallest line hash in a window
 is its fingerprint (winnowing), so equal windows have equal fingerprints wherever they stand.
 
-Fingerprints that occur at one place only are dropped. Around the others the match is extended both
-ways by comparing windows as a whole: a window is repeated if it also stands at an earlier place
-(by id, then line). The union of the repeated windows of a document is all its lines that lie in a
-run that counts and was seen before; these lines are deleted, the first occurrence stays. Windows
-are keyed by 128-bit hashes and joined with their first place only, never with one another.
+Only fingerprints and their places are joined; those that occur at one place only are dropped. From
+each of the other places a match is extended both ways, line by line, as far as windows reach that
+have this fingerprint; these windows, and no others, are compared, by 128-bit hashes, with their
+first place (by id, then line). The union of the windows of a document that stand at an earlier place
+is all its lines that lie in a run that counts and was seen before; these lines are deleted, the
+first occurrence stays. Places are joined with the first one only, never with one another.
 
 Null text counts as empty and stays null. Rows without id are passed through and seen by nobody.
 Repeated rows (same id and text) are one place: each gets the same result. Long texts are one row;
@@ -36,67 +37,98 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BLANK = " \t\n\x0b\f\r"
 
 
-def windows(text: str, min_lines: int, min_words: int) -> list[tuple]:
-    """(start, end, place of the fingerprint, fingerprint, hash, second hash); places are numbers
-    of lines of the text, the end is the last line."""
-    places, hashes, totals = [], [], [0]
-    for i, line in enumerate(text.split("\n")):
-        if line := line.strip(_BLANK):
-            places.append(i)
-            hashes.append(hashlib.blake2b(line.encode(), digest_size=16).digest())
-            totals.append(totals[-1] + len(_WORD.findall(line)))
-    n = len(places)
-
-    def counts(a: int, b: int) -> bool:
-        return b - a >= min_lines or totals[b] - totals[a] >= min_words
-
-    spans, end, start = set(), 0, 0
-    for a in range(n):
-        end = max(end, a + 1)
-        while end < n and not counts(a, end):
-            end += 1
-        if counts(a, end):
-            spans.add((a, end))
-    for b in range(1, n + 1):
-        while start + 1 < b and counts(start + 1, b):
-            start += 1
-        if counts(start, b):
-            spans.add((start, b))
-    out = []
-    for a, b in sorted(spans):
-        at = min(range(a, b), key=hashes.__getitem__)
-        whole = hashlib.blake2b(b"".join(hashes[a:b]), digest_size=16).digest()
-        first, *both = (int(x) for x in np.frombuffer(hashes[at][:8] + whole, "<i8"))
-        out.append((places[a], places[b - 1], places[at], first, *both))
-    return out
-
-
-_COLUMNS = ("start", "end", "at", "fingerprint", "w1", "w2")
+class Lines:
+    """The lines of a text that hold a word: their numbers, 16-byte hashes and running word counts."""
+
+    def __init__(self, places: np.ndarray, hashes: bytes, totals: np.ndarray):
+        self.places, self.hashes, self.totals = places, hashes, totals
+
+    @classmethod
+    def of(cls, text: str) -> Lines:
+        places, hashes, totals = [], [], [0]
+        for i, line in enumerate(text.split("\n")):
+            if line := line.strip(_BLANK):
+                places.append(i)
+                hashes.append(hashlib.blake2b(line.encode(), digest_size=16).digest())
+                totals.append(totals[-1] + len(_WORD.findall(line)))
+        return cls(np.array(places, "<i8"), b"".join(hashes), np.array(totals, "<i8"))
+
+    def hash(self, i: int) -> bytes:
+        return self.hashes[16 * i : 16 * i + 16]
+
+    def windows(self, min_lines: int, min_words: int) -> list[tuple[int, int]]:
+        """The shortest runs that count, as ranges of lines, in order of their starts."""
+        n, totals = len(self.places), self.totals.tolist()
+
+        def counts(a: int, b: int) -> bool:
+            return b - a >= min_lines or totals[b] - totals[a] >= min_words
+
+        spans, end, start = set(), 0, 0
+        for a in range(n):
+            end = max(end, a + 1)
+            while end < n and not counts(a, end):
+                end += 1
+            if counts(a, end):
+                spans.add((a, end))
+        for b in range(1, n + 1):
+            while start + 1 < b and counts(start + 1, b):
+                start += 1
+            if counts(start, b):
+                spans.add((start, b))
+        return sorted(spans)
+
+    def minimum(self, a: int, b: int) -> int:
+        """The line with the smallest hash; of equal ones the first."""
+        return min(range(a, b), key=self.hash)
+
+    def fingerprints(self, min_lines: int, min_words: int) -> list[tuple[int, int]]:
+        """(fingerprint, line) of all windows, each once."""
+        chosen = {self.minimum(a, b) for a, b in self.windows(min_lines, min_words)}
+        return [(int(np.frombuffer(self.hash(i)[:8], "<i8")[0]), i) for i in sorted(chosen)]
+
+    def around(self, chosen: set[int], min_lines: int, min_words: int) -> list[tuple[int, ...]]:
+        """The windows that have one of the chosen lines as their fingerprint: first and last line
+        as numbers in the text, and the two halves of the window's hash."""
+        out = []
+        for a, b in self.windows(min_lines, min_words):
+            if self.minimum(a, b) in chosen:
+                whole = hashlib.blake2b(self.hashes[16 * a : 16 * b], digest_size=16).digest()
+                w1, w2 = (int(x) for x in np.frombuffer(whole, "<i8"))
+                out.append((int(self.places[a]), int(self.places[b - 1]), w1, w2))
+        return out
+
+
+_LINES = "doc_id long, digest long, places binary, hashes binary, totals binary, prints array<long>, at array<long>"
 
 
 def repeated(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, digest of the text, runs): for texts with repeated windows, their line ranges."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[tuple] = []
+            kept, columns = [], [[] for _ in range(5)]
             for row, text in enumerate(batch.column(2)):
-                found += [(row, *w) for w in windows(text.as_py(), min_lines, min_words)]
-                if len(found) > 50_000 or row + 1 == batch.num_rows:
-                    columns = list(zip(*found, strict=True)) or [()] * 7
-                    rows = pa.array(columns[0], pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(rows), batch.column(1).take(rows),
-                         *(pa.array(c, pa.int64()) for c in columns[1:])],
-                        names=["doc_id", "digest", *_COLUMNS],
-                    )
-                    found = []
+                lines = Lines.of(text.as_py())
+                prints = lines.fingerprints(min_lines, min_words)
+                if prints:
+                    kept.append(row)
+                    values = (lines.places.tobytes(), lines.hashes, lines.totals.tobytes(),
+                              [f for f, _ in prints], [i for _, i in prints])
+                    for column, value in zip(columns, values, strict=True):
+                        column.append(value)
+            kinds = [*[pa.binary()] * 3, *[pa.list_(pa.int64())] * 2]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i).take(pa.array(kept, pa.int64())) for i in (0, 1)),
+                 *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                names=["doc_id", "digest", "places", "hashes", "totals", "prints", "at"],
+            )
 
-    placed = materialize(
+    lines = materialize(
         docs.where("doc_id is not null and text is not null")
         .select("doc_id", F.xxhash64("text").alias("digest"), "text")
-        .mapInArrow(run, "doc_id long, digest long, " + ", ".join(f"{c} long" for c in _COLUMNS))
+        .mapInArrow(select, _LINES)
     )
+    placed = lines.select("doc_id", "digest", F.inline(F.arrays_zip(F.col("prints").alias("fingerprint"), "at")))
     spot = F.struct("doc_id", "digest", "at")
     shared = (
         placed.groupBy("fingerprint")
@@ -104,9 +136,32 @@ def repeated(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_W
         .where("low < high")
         .select("fingerprint")
     )
-    here = F.struct("doc_id", "digest", "start")
+    chosen = placed.join(shared, "fingerprint").groupBy("doc_id", "digest").agg(
+        F.collect_set("at").alias("chosen")
+    )
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple] = []
+            for row, values in enumerate(batch.select([2, 3, 4, 5]).to_pylist()):
+                own = Lines(np.frombuffer(values["places"], "<i8"), values["hashes"], np.frombuffer(values["totals"], "<i8"))
+                found += [(row, *w) for w in own.around(set(values["chosen"]), min_lines, min_words)]
+                if len(found) > 50_000 or row + 1 == batch.num_rows:
+                    columns = list(zip(*found, strict=True)) or [()] * 5
+                    rows = pa.array(columns[0], pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(rows), batch.column(1).take(rows),
+                         *(pa.array(c, pa.int64()) for c in columns[1:])],
+                        names=["doc_id", "digest", "start", "end", "w1", "w2"],
+                    )
+                    found = []
+
     extended = materialize(
-        placed.join(shared, "fingerprint", "left_semi").select("w1", "w2", here.alias("here"), "end")
+        # rows of one id and text are one place, so their windows are equal to each other
+        lines.join(chosen, ["doc_id", "digest"])
+        .select("doc_id", "digest", "places", "hashes", "totals", "chosen")
+        .mapInArrow(extend, "doc_id long, digest long, start long, end long, w1 long, w2 long")
+        .select("w1", "w2", F.struct("doc_id", "digest", "start").alias("here"), "end")
     )
     first = (
         extended.groupBy("w1", "w2")
