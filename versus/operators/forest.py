@@ -70,26 +70,32 @@ def grow(
     dims = dims.select("forest", "dims").withColumn("draws", F.greatest(F.lit(1), F.floor(F.sqrt(F.size("dims"))).cast("int")))
     draws = dims.agg(F.max("draws")).first()[0] or 1
     places = range(draws)
+    # draws are worked out once for each node, not for each of its rows
+    roots = dims.withColumn("tree", F.explode(F.array(*map(F.lit, range(trees))))).select(
+        "forest", "tree", F.lit(1).cast("long").alias("node"), "dims", "draws"
+    )
+    roots = materialize(roots.withColumn("drawn", _drawn(F.col("node"), draws)).drop("dims", "draws"))
     at = materialize(
-        cells.withColumn("tree", F.explode(F.array(*map(F.lit, range(trees)))))
-        .withColumn("node", F.lit(1).cast("long"))
-        .join(dims, "forest")
-        .join(points, "id")
-        .select(*_KEY, "id", "label", "train", _values(_drawn(F.col("node"), draws)).alias("xs"))
+        cells.join(roots, "forest").join(points, "id")
+        .select(*_KEY, "id", "label", "train", _values(F.col("drawn")).alias("xs"))
     )
     nodes, reached = None, None
     for depth in range(max_depth + 1):
         splits = materialize(_splits(at, dims, places, leaf=depth == max_depth))
-        nodes = splits if nodes is None else nodes.unionByName(splits)
+        plain = splits.drop("drawn0", "drawn1")
+        nodes = plain if nodes is None else nodes.unionByName(plain)
         if depth < max_depth and not splits.where("threshold is not null").isEmpty():
             side = (F.get("features", F.col("dim")) > F.col("threshold")).cast("long")
-            sent = at.drop("xs").join(splits, _KEY).join(points, "id").join(dims, "forest")
+            sent = at.drop("xs").join(splits, _KEY).join(points, "id")
             child = F.when(F.col("threshold").isNotNull(), 2 * F.col("node") + side)
             # a row that has come to a leaf keeps the leaf's counts and goes no further
+            drawn = F.when(side == 0, F.col("drawn0")).otherwise(F.col("drawn1"))
             sent = materialize(
-                sent.withColumn("counts", F.when(child.isNull(), F.col("counts"))).withColumn("node", child)
+                sent.withColumn("xs", _values(drawn))
+                .withColumn("counts", F.when(child.isNull(), F.col("counts")))
+                .withColumn("node", child)
                 .where("node is not null or not train")
-                .select(*_KEY, "id", "label", "train", "counts", _values(_drawn(F.col("node"), draws)).alias("xs"))
+                .select(*_KEY, "id", "label", "train", "counts", "xs")
             )
             settled, at = sent.where("node is null"), sent.where("node is not null").drop("counts")
         else:
@@ -109,8 +115,10 @@ def _splits(at: DataFrame, dims: DataFrame, places: range, leaf: bool) -> DataFr
         *((F.min if name == "low" else F.max)(F.get("xs", F.lit(j))).alias(f"{name}{j}") for name, j in ends),
     )
     if leaf:
+        none = F.lit(None)
         return per_label.groupBy(*_KEY).agg(
-            F.lit(None).cast("int").alias("dim"), F.lit(None).cast("double").alias("threshold"), _counts()
+            none.cast("int").alias("dim"), none.cast("double").alias("threshold"), _counts(),
+            *(none.cast("array<int>").alias(c) for c in ("drawn0", "drawn1")),
         )
     ranges = per_label.groupBy(*_KEY).agg(
         F.count(F.lit(1)).alias("labels"),
@@ -147,8 +155,11 @@ def _splits(at: DataFrame, dims: DataFrame, places: range, leaf: bool) -> DataFr
     each = F.array(*(F.struct(F.col(f"purity{j}").alias("purity"), F.lit(-j).alias("j")) for j in places))
     best = -F.array_max(F.filter(each, lambda x: x["purity"].isNotNull()))["j"]
     drawn = _drawn(F.col("node"), len(places))
+    inner = F.col("best").isNotNull()
     return tally.withColumn("best", best).join(dims, "forest").select(
-        *_KEY, F.get(drawn, F.col("best")).alias("dim"), F.get("thresholds", F.col("best")).alias("threshold"), "counts"
+        *_KEY, F.when(inner, F.get(drawn, F.col("best"))).alias("dim"),
+        F.get("thresholds", F.col("best")).alias("threshold"), "counts",
+        *(F.when(inner, _drawn(2 * F.col("node") + i, len(places))).alias(f"drawn{i}") for i in (0, 1)),
     )
 
 
