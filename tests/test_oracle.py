@@ -26,6 +26,9 @@ CHECKED = [
     "knn_distance",
     "stratified_kfold_assign",
     "text_round_trip",
+    "sgd_hinge",
+    "knn_refit",
+    "missing_grams",
 ]
 
 
