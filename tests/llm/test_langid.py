@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 
 from versus.llm import langid
 
@@ -43,3 +44,16 @@ def test_odd_rows(spark):
     assert langid.predict(df.limit(0), model).collect() == []
     nothing = langid.fit(df.limit(0))
     assert all(r.lang_pred == "und" and r.score == 0 for r in langid.predict(df, nothing).collect())
+
+
+def test_more_languages_than_fit_share_columns(spark, monkeypatch):
+    monkeypatch.setattr(langid, "CELLS", langid.FEATURES * 4)
+    rows = [(100 * k + i, f"{chr(0x4E00 + 7 * k)}{chr(0x4E01 + 7 * k)} " * 9, f"l{k:03d}") for k in range(40) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model[0]) == 40 and model[2].size <= langid.CELLS
+    got = {r.doc_id: r.lang_pred for r in langid.predict(df, model).collect()}
+    assert got == {d: lang for d, _, lang in rows}
+    monkeypatch.setattr(langid, "CELLS", langid.LEAST_FEATURES * 39)
+    with pytest.raises(ValueError):
+        langid.fit(df)

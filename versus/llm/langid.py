@@ -1,9 +1,10 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 N-grams of the lower-cased characters (``ORDERS``) are hashed to ``FEATURES`` columns. The matrix
-of log probabilities (languages x features, a fixed number of features and no more than
-``MAX_LANGUAGES`` rows) is broadcast; a batch of texts is scored in numpy by adding up the matrix's
-columns at the n-grams that occur. The score is the posterior of the predicted language.
+of log probabilities (languages x features) has at most ``CELLS`` cells and is broadcast: with more
+languages than fit, n-grams share fewer columns, so every language is learned. A batch of texts is
+scored in numpy by adding up the matrix's columns at the n-grams that occur. The score is the
+posterior of the predicted language. More than ``CELLS / LEAST_FEATURES`` languages are an error.
 
 Counts are fitted on at most about ``PER_LANGUAGE`` labelled rows of each language, chosen by a
 hash of the id (all rows where there are fewer); every row is scored. Only the text decides.
@@ -29,12 +30,23 @@ from versus.llm.common import remainder, set_apart, ship, table
 ORDERS = (1, 2, 3)
 FEATURES = 1 << 16
 PER_LANGUAGE = 20_000
-MAX_LANGUAGES = 1_000
+LEAST_FEATURES = 1 << 8
+CELLS = 1 << 26
 ALPHA = 0.5
 UNKNOWN = "und"
 
 
-def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def width(languages: int) -> int:
+    """The number of columns: ``FEATURES``, halved until the matrix has at most ``CELLS`` cells."""
+    columns = FEATURES
+    while columns > LEAST_FEATURES and languages * columns > CELLS:
+        columns //= 2
+    if languages * columns > CELLS:
+        raise ValueError(f"more than {CELLS // LEAST_FEATURES} languages")
+    return columns
+
+
+def features(texts: list[str], columns: int = FEATURES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each order the features of all n-grams of all texts, and the bounds of the texts."""
     texts = [f" {t.lower()} " for t in texts]
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
@@ -52,17 +64,16 @@ def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             inside[at[(at >= 0) & (at < n)]] = False
         kept = np.concatenate([[0], np.cumsum(inside)])
         bounds = kept[np.minimum(np.concatenate([[0], ends]), n)]
-        yield (value[inside] >> np.uint32(16)).astype(np.int64) % FEATURES, bounds
+        yield (value[inside] >> np.uint32(16)).astype(np.int64) % columns, bounds
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
         id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, log priors and the matrix of log probabilities."""
     known = labelled.where(F.col(lang_col).isNotNull())
-    sizes = (
-        known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGUAGES)
-    ).collect()
+    sizes = known.groupBy(lang_col).count().limit(CELLS // LEAST_FEATURES + 1).collect()
     languages = sorted(r[0] for r in sizes)
+    columns = width(len(languages))
     if not languages:
         return [], np.zeros(0), np.zeros((0, FEATURES), np.float32)
     rows = {r[0]: r[1] for r in sizes}
@@ -78,27 +89,33 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
         .select("lang", "text")
     )
 
+    def packed(totals: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for name, seen in totals.items():
+            at = np.flatnonzero(seen)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name]), pa.array([arrays.blob(at.astype("<u4"))], pa.binary()),
+                 pa.array([arrays.blob(seen[at].astype("<i8"))], pa.binary())],
+                names=["lang", "at", "seen"],
+            )
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             for start, stop in arrays.slices(batch.column(1), 1 << 20):
                 part = batch.slice(start, stop - start)
                 names = part.column(0).to_pylist()
-                for feature, bounds in features([t or "" for t in part.column(1).to_pylist()]):
+                for feature, bounds in features([t or "" for t in part.column(1).to_pylist()], columns):
                     owner = np.array(names)[arrays.rows_of(bounds)]
                     for name in set(names):
-                        seen = np.bincount(feature[owner == name], minlength=FEATURES)
+                        seen = np.bincount(feature[owner == name], minlength=columns)
                         totals[name] = totals.get(name, 0) + seen
-        for name, seen in totals.items():
-            at = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name]), pa.array([arrays.blob(at.astype("<u4"))], pa.binary()),
-                 pa.array([arrays.blob(seen[at].astype("<i8"))], pa.binary())],
-                names=["lang", "at", "seen"],
-            )
+                if len(totals) * columns > 1 << 22:
+                    yield from packed(totals)
+                    totals = {}
+        yield from packed(totals)
 
     def add(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(FEATURES, np.int64)
+        total = np.zeros(columns, np.int64)
         for at, seen in zip(parts["at"], parts["seen"], strict=True):
             total[np.frombuffer(at, "<u4")] += np.frombuffer(seen, "<i8")
         return pd.DataFrame({"lang": [key[0]], "seen": [arrays.blob(total)]})
@@ -110,7 +127,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
         .collect()  # languages x features: bounded
     )
     seen = {r["lang"]: np.frombuffer(r["seen"], "<i8") for r in counted}
-    matrix = np.stack([seen.get(lang, np.zeros(FEATURES, np.int64)) for lang in languages]) + ALPHA
+    matrix = np.stack([seen.get(lang, np.zeros(columns, np.int64)) for lang in languages]) + ALPHA
     matrix = np.log(matrix / matrix.sum(1, keepdims=True))
     prior = np.log(np.array([rows[lang] for lang in languages], float) / sum(rows.values()))
     return languages, prior, matrix.astype(np.float32)
@@ -133,7 +150,7 @@ def predict(docs: DataFrame, model: tuple, text_col: str = "text",
                 part = batch.slice(start, stop - start)
                 texts = [t or "" for t in part.column(0).to_pylist()]
                 sums = np.tile(prior, (len(texts), 1))
-                for feature, bounds in features(texts) if languages else ():
+                for feature, bounds in features(texts, columns.shape[0]) if languages else ():
                     for k in range(len(languages)):
                         sums[:, k] += arrays.segment_sums(
                             columns[:, k][feature].astype(np.float64), bounds
