@@ -52,3 +52,41 @@ def test_odd_rows_and_outliers(spark):
         assert tuple(got[d])[1:7] == base(text)
     assert not got[100].kept and not got[101].kept and not got[102].kept
     assert q.judge(df.limit(0)).collect() == []
+
+
+def test_languages_judge_their_own(spark):
+    latin = [(i, f"una casa di campagna e un cane che dorme numero {i} " * 12, "it") for i in range(40)]
+    russian = [(100 + i, f"это большой дом и в нём живёт старый кот номер {i} " * 12, "ru") for i in range(30)]
+    few = [(200 + i, f"猫 が 好き です {i} " * 30, "ja") for i in range(4)]
+    odd = [(300, "one two three four five six seven eight nine ten ZZ! " * 12, "ru"), (301, "12 " * 300, "ja")]
+    df = spark.createDataFrame(latin + russian + few + odd, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in q.judge(df).collect()}
+    clean = [d for d, *_ in latin + russian + few]
+    # repeated sentences fail the base rule: the distances are what is looked at here
+    assert all(got[d].class_distance < q.MAX_CLASS_DISTANCE for d in clean)
+    assert all(got[d].word_distance < q.MAX_WORD_DISTANCE for d, *_ in latin + russian)
+    assert got[300].class_distance > q.MAX_CLASS_DISTANCE and got[300].word_distance > q.MAX_WORD_DISTANCE
+
+
+def test_minority_language_kept_and_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    import random
+
+    rng = random.Random(3)
+    frequent = {"it": "il di che e la un per in con non".split(), "ru": "и в не на что с по как это но".split()}
+    rows = []
+    for i in range(64):
+        lang = "ru" if i % 2 else "it"
+        letters = "абвгдежз" if i % 2 else "abcdefgh"
+        words = [rng.choice(frequent[lang]) if rng.random() < 0.5 else "".join(rng.choices(letters, k=6)) for _ in range(120)]
+        rows.append((i, " ".join(words), lang))
+    rows += [(90, " ".join("".join(rng.choices("ABCDEF09", k=7)) for _ in range(120)), "ru"), (91, "ага " * 40, "kk"), (92, None, None), (93, "x", "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted(map(tuple, q.judge(df).drop("n_chars", "class_distance", "word_distance").collect()))
+    kept = {r[0]: r[-1] for r in got}
+    assert all(kept[i] for i in range(64)) and not kept[90]
+    path = str(tmp_path / "documents.parquet")
+    df.write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert sorted(con.execute(q.ORACLE["op7_quality"]).fetchall()) == got

@@ -1,15 +1,17 @@
 """Quality rules: how far a document's distributions lie from those of its language.
 
 Two histograms are made of each document: of character classes, and of the common words of its
-language (all other words in one bin). References are the sums of both over all documents of a
-language, or of all documents for a null or unlisted language. A document is dropped if the
-Jensen-Shannon distance (base 2) of either histogram to its reference exceeds a threshold; a
-histogram of fewer than ``MIN_CHARS`` characters or ``MIN_WORDS`` words is not judged.
+language (all other words in one bin): a given list, or for languages without one the ``BINS`` words
+that are most frequent in all their documents. References are the sums of both over all documents
+of a value of ``lang``; documents with a null or empty value are one language. A document is dropped
+if the Jensen-Shannon distance (base 2) of either histogram to its reference exceeds a threshold. A
+histogram of fewer than ``MIN_CHARS`` characters or ``MIN_WORDS`` words is not judged, and a
+reference of fewer than ``MIN_DOCUMENTS`` documents does not judge.
 
 Everything is built from DataFrame functions: repeated eight-word windows are found by hashing
 words, then pairs, fours and eights of them, and sorting the hashes of those rows that have equal
-ones. Only the features are stored and summed; the references, ``MAX_LANGUAGES`` rows of a few
-numbers at most, are broadcast.
+ones. Only the features are stored and summed; word lists and references, one row a language, are
+looked up, which broadcasts them only after counting their rows and bytes.
 
 Null text counts as empty, without words: it fails the base rule. Each row is judged by itself,
 repeated rows alike; an empty table gives an empty result; further columns are ignored.
@@ -21,27 +23,28 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from versus.llm.common import table
+from versus.operators.lookup import lookup
 from versus.session import materialize
 
 MIN_CHARS = 200
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.32
 MAX_WORD_DISTANCE = 0.33
-MAX_LANGUAGES = 1_000
+MIN_DOCUMENTS = 20
 
 # Character classes as the insides of regular expression classes; the rest of the
 # characters is one more class.
 CLASSES = ["aeiou", "b-df-hj-np-tv-z", "A-Z", "0-9", r"\x20\x09-\x0D", r".,;:!?'\x22()-", r"\x{80}-\x{10FFFF}"]
 
-# Frequent words of languages, and those used where the language is not listed.
+# Frequent words of languages.
 COMMON = {
     "de": "der die und das den von zu mit sich des ist im ein nicht auf".split(),
     "en": "the of and to in a is that for it was on are as with".split(),
     "es": "de la que el en y a los se del las un por con para".split(),
     "fr": "le la de et les des que est en du un pour dans qui une".split(),
-    "": "the of and de la que der die und en a le el des et".split(),
 }
 BINS = 15
 
@@ -99,22 +102,43 @@ def _repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < 8, F.lit(0)).otherwise(eights)
 
 
+def _words() -> Column:
+    return F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+
+def common_words(texts: DataFrame) -> DataFrame:
+    """ref and the most frequent words of each language without a list; ties by the word."""
+    counts = (
+        texts.where(~F.col("ref").isin(list(COMMON)))
+        .select("ref", F.explode(_words()).alias("word"))
+        .groupBy("ref", "word").agg(F.count("*").alias("n"))
+    )
+    order = Window.partitionBy("ref").orderBy(F.desc("n"), "word")
+    first = counts.withColumn("at", F.row_number().over(order)).where(F.col("at") <= BINS)
+    places = F.sort_array(F.collect_list(F.struct("at", "word")))
+    return first.groupBy("ref").agg(F.transform(places, lambda x: x["word"]).alias("corpus"))
+
+
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, the base numbers, and the histograms ``classes`` and ``common``."""
-    text = F.coalesce("text", F.lit(""))
-    blank = r"[\x20\x09-\x0D]+"
-    words = F.filter(F.split(text, blank), lambda w: w != "")
+    """doc_id, ref, the base numbers, and the histograms ``classes`` and ``common``."""
     by_language = F.create_map(
         *(x for lang, list_ in COMMON.items() for x in (F.lit(lang), F.array(*map(F.lit, list_))))
     )
-    known = F.col("lang").isin([lang for lang in COMMON if lang])
+    texts = docs.select(
+        "doc_id", F.coalesce("lang", F.lit("")).alias("ref"), F.coalesce("text", F.lit("")).alias("text")
+    )
     all_common = sorted({w for list_ in COMMON.values() for w in list_})
-    split = docs.select(
+    split = lookup(texts, materialize(common_words(texts)), ["ref"], "left").select(
         "doc_id",
-        "lang",
-        text.alias("text"),
-        words.alias("words"),
-        F.element_at(by_language, F.when(known, F.col("lang")).otherwise(F.lit(""))).alias("list"),
+        "ref",
+        "text",
+        _words().alias("words"),
+        F.coalesce(F.col("corpus"), F.array().cast("array<string>")).alias("corpus"),
+    )
+    # a language of few different words has empty bins
+    listed = F.coalesce(
+        F.element_at(by_language, F.col("ref")),
+        F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.get(F.col("corpus"), i)),
     )
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
@@ -123,7 +147,7 @@ def features(docs: DataFrame) -> DataFrame:
 
     return split.select(
         "doc_id",
-        "lang",
+        "ref",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
@@ -132,9 +156,9 @@ def features(docs: DataFrame) -> DataFrame:
         F.length("text").cast("long").alias("n_chars"),
         F.array(*((F.length("text") - length_without(c)).cast("long") for c in CLASSES)).alias("classes"),
         let(
-            F.filter("words", lambda w: w.isin(all_common)),
+            F.filter("words", lambda w: w.isin(all_common) | F.array_contains("corpus", w)),
             lambda found: F.transform(
-                F.col("list"), lambda c: F.size(F.filter(found, lambda w: w == c)).cast("long")
+                listed, lambda c: F.size(F.filter(found, lambda w: w == c)).cast("long")
             ),
         ).alias("common"),
     )
@@ -168,21 +192,13 @@ def judge(docs: DataFrame) -> DataFrame:
         for c, n in parts.items()
     ]
     sums += [F.sum("n_chars").alias("all_chars"), F.sum("n_words").alias("all_words"), F.count("*").alias("n")]
-    listed = [lang for lang in COMMON if lang]
-    grouped = (
-        found.withColumn("lang", F.when(F.col("lang").isin(listed), F.col("lang")).otherwise(F.lit("")))
-        .groupBy("lang").agg(*sums)
-        .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    )
-    references = grouped.select(
-        F.col("lang").alias("ref"),
+    references = found.groupBy("ref").agg(*sums).select(
+        "ref",
+        F.col("n").alias("ref_documents"),
         _with_rest(F.col("all_classes"), F.col("all_chars")).alias("ref_classes"),
         _with_rest(F.col("all_common"), F.col("all_words")).alias("ref_common"),
     )
-    keyed = found.withColumn(
-        "ref", F.when(F.col("lang").isin(listed), F.col("lang")).otherwise(F.lit(""))
-    )
-    measured = keyed.join(F.broadcast(references), "ref").select(
+    measured = lookup(found, materialize(references), ["ref"], "left").select(
         "*",
         distance(_with_rest(F.col("classes"), F.col("n_chars")), F.col("ref_classes")).alias("class_distance"),
         distance(_with_rest(F.col("common"), F.col("n_words")), F.col("ref_common")).alias("word_distance"),
@@ -191,6 +207,7 @@ def judge(docs: DataFrame) -> DataFrame:
     far = ((F.col("n_chars") >= MIN_CHARS) & (F.col("class_distance") > MAX_CLASS_DISTANCE)) | (
         (F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE)
     )
+    far = far & (F.col("ref_documents") >= MIN_DOCUMENTS)
     return measured.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"),
@@ -208,9 +225,8 @@ def _quoted(words: list[str]) -> str:
 
 
 def _oracle() -> str:
-    listed = [lang for lang in COMMON if lang]
-    ref = f"CASE WHEN lang IN ({_quoted(listed)[1:-1]}) THEN lang ELSE '' END"
     lists = " ".join(f"WHEN '{lang}' THEN {_quoted(words)}" for lang, words in COMMON.items())
+    listed = _quoted(list(COMMON))[1:-1]
     classes = ", ".join(
         "length(text) - length(regexp_replace(text, '[" + c.replace("'", "''") + "]+', '', 'g'))"
         for c in CLASSES
@@ -230,10 +246,15 @@ def _oracle() -> str:
         )
 
     return rf"""
-WITH d AS (SELECT doc_id, {ref} AS ref, coalesce(text, '') AS text FROM documents),
-w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
-  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
-  CASE ref {lists} END AS c FROM d),
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS ref, coalesce(text, '') AS text FROM documents),
+v AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+often AS (SELECT ref, list(x ORDER BY n DESC, x) AS c FROM (
+  SELECT ref, x, n, row_number() OVER (PARTITION BY ref ORDER BY n DESC, x) AS place FROM (
+    SELECT ref, x, count(*) AS n FROM (SELECT ref, unnest(w) AS x FROM v WHERE ref NOT IN ({listed})) GROUP BY ref, x))
+  WHERE place <= {BINS} GROUP BY ref),
+w AS (SELECT v.*, CASE ref {lists} ELSE list_transform(range(1, {BINS + 1}), lambda i: often.c[i]) END AS c
+  FROM v LEFT JOIN often USING (ref)),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS k
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
 twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS n FROM win) WHERE n > 1),
@@ -248,16 +269,16 @@ sum_classes AS (SELECT ref, list(s ORDER BY i) AS h FROM (SELECT ref, i, sum(cla
   FROM f, range(1, {len(CLASSES) + 1}) AS t(i) GROUP BY ref, i) GROUP BY ref),
 sum_common AS (SELECT ref, list(s ORDER BY i) AS h FROM (SELECT ref, i, sum(common[i]) AS s
   FROM f, range(1, {BINS + 1}) AS t(i) GROUP BY ref, i) GROUP BY ref),
-total AS (SELECT ref, sum(n_chars) AS chars, sum(n_words) AS words FROM f GROUP BY ref),
-refs AS (SELECT ref, {shares('a.h', 'chars')} AS qc, {shares('b.h', 'words')} AS qw
+total AS (SELECT ref, sum(n_chars) AS chars, sum(n_words) AS words, count(*) AS n FROM f GROUP BY ref),
+refs AS (SELECT ref, n, {shares('a.h', 'chars')} AS qc, {shares('b.h', 'words')} AS qw
   FROM total JOIN sum_classes a USING (ref) JOIN sum_common b USING (ref)),
-p AS (SELECT f.*, qc, qw, {shares('classes', 'n_chars')} AS pc, {shares('common', 'n_words')} AS pw
+p AS (SELECT f.*, n, qc, qw, {shares('classes', 'n_chars')} AS pc, {shares('common', 'n_words')} AS pw
   FROM f JOIN refs USING (ref)),
 m AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
   {far('pc', 'qc')} AS dc, {far('pw', 'qw')} AS dw FROM p)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT ((n_chars >= {MIN_CHARS} AND dc > {MAX_CLASS_DISTANCE})
-    OR (n_words >= {MIN_WORDS} AND dw > {MAX_WORD_DISTANCE})) AS kept
+  NOT base_failed AND NOT (n >= {MIN_DOCUMENTS} AND ((n_chars >= {MIN_CHARS} AND dc > {MAX_CLASS_DISTANCE})
+    OR (n_words >= {MIN_WORDS} AND dw > {MAX_WORD_DISTANCE}))) AS kept
 FROM m"""
 
 
