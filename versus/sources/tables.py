@@ -1,4 +1,4 @@
-"""Stored results: vectors and judgements, keyed by id."""
+"""Stored results: vectors and judgements, keyed by id; tables in buckets of a key."""
 
 from __future__ import annotations
 
@@ -27,3 +27,26 @@ def save_judgements(df: DataFrame, path: str, form: str = "parquet") -> None:
 
 def load_judgements(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("id bigint, pred int").parquet(path)
+
+
+def save_bucketed(df: DataFrame, path: str, name: str, by: list[str], buckets: int) -> DataFrame:
+    """Store ``df`` under ``path`` as table ``name`` in ``buckets`` buckets, one sorted file each.
+
+    Tables with the same number of buckets of the join's keys are joined without a shuffle. A bucket
+    is one task's work: choose ``buckets`` so that a bucket has a few hundred MB.
+    """
+    dealt = df.repartition(buckets, *by)
+    dealt.write.format("parquet").bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def load_bucketed(
+    spark: SparkSession, path: str, name: str, schema: str, by: list[str], buckets: int
+) -> DataFrame:
+    """Name a table that ``save_bucketed`` stored, perhaps in another session, and read it."""
+    keys = ", ".join(f"`{c}`" for c in by)
+    spark.sql(
+        f"CREATE TABLE `{name}` ({schema}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+        f"INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
