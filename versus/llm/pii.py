@@ -324,7 +324,9 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__own")), "left"
     )
     text = F.pandas_udf(_masked_series, "string")
-    new = F.when(F.col("__spans").isNotNull(), text("text", "__spans")).otherwise(F.col("text"))
+    # a UDF sees every row, whatever the condition around it: only texts with spans travel
+    hit = F.when(F.col("__spans").isNotNull(), F.col("text"))
+    new = F.when(F.col("__spans").isNotNull(), text(hit, "__spans")).otherwise(F.col("text"))
     joined = joined.withColumn("text", new)
     length = F.when(F.col("__spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return joined.withColumn("n_chars", length).select(*docs.columns)
