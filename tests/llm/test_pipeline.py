@@ -68,5 +68,5 @@ def test_every_query_is_registered():
     import __spark_entry__ as entry
 
     numbers = {int(m[1]) for n in entry.queries() if (m := re.match(r"op(\d+)_", n))}
-    assert numbers == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
