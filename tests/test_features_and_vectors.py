@@ -300,3 +300,14 @@ def test_stream_equals_batch(spark, data_dir):
     assert sorted(stream) == sorted(batch)
     assert sum(sum(r[1:]) for r in batch) > 0
     assert J.LABELS == (-1, 0, 1)
+
+
+def test_stream_reads_a_table_stored_as_a_folder(spark, data_dir):
+    from versus.plans import registry
+
+    folder = scratch_dir(spark)
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{data_dir}/{name}.parquet").repartition(3).write.parquet(f"{folder}/{name}.parquet")
+    stream = registry.QUERIES["stream_confusion"](spark, folder).collect()
+    batch = registry.QUERIES["confusion_matrix"](spark, data_dir).collect()
+    assert sorted(stream) == sorted(batch)

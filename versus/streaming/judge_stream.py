@@ -11,14 +11,20 @@ from versus.session import scratch_dir
 
 
 def read_stream(spark: SparkSession, folder: str, pattern: str, files_per_batch: int = 100) -> DataFrame:
-    """A stream of the Parquet files in ``folder`` whose names match ``pattern``."""
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+    """A stream of the Parquet files in ``folder`` whose names match ``pattern``.
+
+    Where ``pattern`` matches folders, as tables of many files are stored, their files are read.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{pattern}")
+    found = path.getFileSystem(conf).globStatus(path)
+    if any(f.isDirectory() for f in found or ()):
+        source, options = f"{folder}/{pattern}", {}
+    else:
+        source, options = folder, {"pathGlobFilter": pattern}
+    schema = spark.read.options(**options).parquet(source).schema
+    stream = spark.readStream.schema(schema).options(**options)
+    return stream.option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
 
 def running_counts(judged: DataFrame, gold: DataFrame, on: str) -> DataFrame:
