@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,3 +312,41 @@ def test_stream_reads_a_table_stored_as_a_folder(spark, data_dir):
     stream = registry.QUERIES["stream_confusion"](spark, folder).collect()
     batch = registry.QUERIES["confusion_matrix"](spark, data_dir).collect()
     assert sorted(stream) == sorted(batch)
+
+
+def test_sentence_counts_stay_in_the_row(spark):
+    """Rows of one id are merged, empty and null arrays and tokens are kept apart; other rows are not shuffled."""
+    rows = [(1, ["a", "b", "a", "b"], ["x"]), (1, ["a"], []), (2, ["c", None, "c"], None), (None, ["a", "a"], ["x"])]
+    df = spark.createDataFrame(rows, "id bigint, h1 array<string>, h2 array<string>")
+    out = {tuple(r)[:4]: r["cnt"] for r in FQ.sentence_gram_counts(df, ["h1", "h2"], 2).collect()}
+    want = Counter()
+    for i, *sides in rows:
+        for side, t in zip(("h1", "h2"), sides):
+            for n in (1, 2):
+                for w in zip(*[(t or [])[k:] for k in range(n)]):
+                    want[i, side, n, None if None in w else " ".join(w)] += 1
+    assert out == want
+    alone = FQ.sentence_gram_counts(df.where("id = 2"), ["h1", "h2"], 2)
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+
+
+def test_corpus_counts_send_one_row_per_window(spark, monkeypatch):
+    tokens = [["a", "b", "c", "a", "b", "c"], ["a b", "c"], ["a", "b c"], ["", None, "a"], [], None]
+    df = spark.createDataFrame(list(enumerate(tokens)), "id bigint, t array<string>")
+    want, flagged = Counter(), Counter()
+    for i, t in enumerate(tokens):
+        for n in (1, 2, 3):
+            for w in zip(*[(t or [])[k:] for k in range(n)]):
+                gram = n, None if None in w else " ".join(w)
+                want[gram] += 1
+                flagged[gram] += i % 2
+    for chunk in (FQ.CHUNK_TOKENS, 2):
+        monkeypatch.setattr(FQ, "CHUNK_TOKENS", chunk)
+        out = FQ.corpus_gram_counts(df, ["t"], 3, flag=F.col("id") % 2 == 1).collect()
+        assert {(r["n"], r["gram"]): (r["cnt"], r["n_flagged"]) for r in out} == {g: (want[g], flagged[g]) for g in want}
+    batch = FQ._sum_windows(
+        [pa.record_batch([pa.array([["a", "b", "c"]] * 5), pa.array([False] * 5)], names=["t", "f"])], 3
+    ).to_pydict()
+    assert sorted(zip(batch["n"], batch["gram"], batch["cnt"])) == [
+        (-3, "a b c", 5), (-2, "b c", 5), (1, "a", 5), (1, "b", 5), (1, "c", 5)
+    ]
