@@ -350,3 +350,40 @@ def test_corpus_counts_send_one_row_per_window(spark, monkeypatch):
     assert sorted(zip(batch["n"], batch["gram"], batch["cnt"])) == [
         (-3, "a b c", 5), (-2, "b c", 5), (1, "a", 5), (1, "b", 5), (1, "c", 5)
     ]
+
+
+def test_vectors_travel_once_for_a_part_and_word(spark, monkeypatch):
+    """Means against a plain recomputation: ids that repeat or are null, words with several vectors,
+    null tokens, arrays and numbers, short vectors, batches that split an id. Triples are not exploded
+    into rows that carry vectors."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    rng = random.Random(3)
+    words = ["a", "b", "c", "d", "", "unknown", None]
+    side = lambda: None if rng.random() < 0.1 else [rng.choice(words) for _ in range(rng.randrange(6))]
+    rows = [(rng.choice([None, *range(25)]), side(), side(), side()) for _ in range(60)]
+    vec = [("a", [1.0, 2.0]), ("a", [3.0, None]), ("b", [0.5]), ("c", None), ("d", [-1.0, 4.0]), ("", [9.0, 9.0])]
+    weights = {"a": 2.0, "b": 3.0, "c": 1.0, "d": 0.5, "": 1.0}
+    df = spark.createDataFrame(rows, "id bigint, h1 array<string>, h2 array<string>, ref array<string>")
+    table = spark.createDataFrame(vec, "word string, vec array<double>")
+    scaled = spark.createDataFrame([(w, v, weights[w]) for w, v in vec], "word string, vec array<double>, weight double")
+    triples = {i: [[t for r in rows if r[0] == i for t in r[k] or []] for k in (1, 2, 3)] for i in {r[0] for r in rows}}
+    for mode, got in (
+        (1, EM.sentence_vectors(df, table, 2)),
+        (2, EM.sentence_vectors(df, table, 2, weighted_rows=True)),
+        (3, EM.sentence_vectors(df, scaled, 2)),
+    ):
+        got = got.collect()
+        assert len(got) == len(triples)
+        for r in got:
+            for k, t in enumerate(triples[r["id"]]):
+                met = [(w, v) for w in t for x, v in vec if x == w and v is not None]
+                weight = lambda w: (1.0, math.log(4 / (1 + sum(w in s for s in triples[r["id"]]))) + 1, weights[w])[mode - 1]
+                for j in (0, 1):
+                    given = [v[j] * weight(w) for w, v in met if j < len(v) and v[j] is not None]
+                    want = sum(given) / len(met) if given else None if met else 0.0
+                    assert r[1 + k][j] == (None if want is None else pytest.approx(want))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    none = EM.sentence_vectors(df, table.where("false"), 2).collect()
+    assert len(none) == len(triples) and all(r["h1"] == [0.0, 0.0] for r in none)
+    plan = EM.sentence_vectors(df, table, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "sum(" not in plan
