@@ -137,3 +137,12 @@ def test_bleu_sweeps_equal_single_runs(spark, triples):
     orders = {r["max_n"]: r["n_right"] for r in S.bleu_order_sweep(counts, gold, "id").collect()}
     single = J.accuracy(J.gold_pred_counts(J.score_bleu(counts, 2), gold)).first()
     assert orders[2] == single["n_right"] and len(orders) == 4
+
+
+def test_validation_works_out_a_judgement_once(spark):
+    rows = spark.range(6).select("id", F.reverse(F.element_at(F.array(*map(F.lit, ["1", "2", "x", " 0", None, "1-"])), F.col("id").cast("int") + 1)).alias("raw"))
+    valid, errors = J.validate(rows)
+    assert {r["id"]: r["pred"] for r in valid.collect()} == {0: 1, 3: 0, 5: -1}
+    assert {r["id"]: r["reason"] for r in errors.collect()} == {1: "out of range", 2: "not an integer", 4: "not an integer"}
+    for out in (valid, errors):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("reverse(") == 1

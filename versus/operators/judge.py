@@ -101,7 +101,10 @@ def score_bleu_smoothed(
 
 def validate(predictions: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
     """Split raw judgements into (valid rows with ``pred``, error rows with ``reason``)."""
-    parsed = predictions.withColumn("pred", trim_ws(F.col(raw)).try_cast("int"))
+    # As a generated column: a plain one would be put into the filter and the reason, and the
+    # judgement behind it worked out anew for each mention.
+    kept = [c for c in predictions.columns if c != "pred"]
+    parsed = predictions.select(*kept, F.explode(F.array(trim_ws(F.col(raw)).try_cast("int"))).alias("pred"))
     ok = F.coalesce(F.col("pred").between(-1, 1), F.lit(False))
     errors = parsed.where(~ok).withColumn(
         "reason", F.when(F.col("pred").isNull(), "not an integer").otherwise("out of range")
