@@ -77,6 +77,34 @@ def test_forest_search(spark):
     assert T.best_percentile(scores) == max(rows, key=lambda p: (round(rows[p], 9), -p))
 
 
+@pytest.mark.parametrize("cells_held", [0, 40, 200])
+def test_forests_held_by_tasks_and_joined_ones_are_the_same(spark, monkeypatch, cells_held):
+    """With lacking, strange and repeated values, from whatever level on the trees outgrow the tasks."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.integers(0, 6, 4)], int(rng.integers(0, 3))) for i in range(60)]
+    rows += [rows[5], rows[7], (70, [1.0, None, 2.0, 0.5], 1), (71, [1.0, 2.0], None), (72, None, 2), (73, [float("nan")] * 4, 0)]
+    rows += [(74, [1.0, None, 2.0, 0.5], 1), (76, [float("nan"), 2.0, 1.0, 4.0], 2)]
+    df = spark.createDataFrame(rows, ROWS)
+
+    def grown():
+        nodes, judged = T.grow(cells(df), df, T.whole(df, 4), trees=4, max_depth=5)
+        pred = T.predict(nodes, df, trees=4)
+        return [sorted(map(str, x.collect())) for x in (nodes, judged, pred)]
+
+    held = grown()
+    monkeypatch.setattr(T, "HELD_CELLS", cells_held)
+    assert grown() == held
+    assert len(held[0]) > 20
+
+
+def test_forest_shuffles_no_row_for_each_tree(spark, monkeypatch):
+    """At a level, tasks hand on their nodes' sums; the working table of the joined way is never made."""
+    monkeypatch.setattr(T, "_grow_joined", None)
+    df = clusters(spark)
+    nodes, _ = T.grow(cells(df), df, T.whole(df, 6), trees=5, max_depth=3)
+    assert nodes.count() > 5
+
+
 def test_hinge_against_numpy(spark):
     df = clusters(spark, 80)
     weights = L.fit_hinge(df.repartition(3), 6, [0, 1, 2], epochs=2, batches=3)
