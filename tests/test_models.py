@@ -149,6 +149,41 @@ def test_best_classifier(spark):
     assert [best.getOrDefault(n) for n in ("percentile", "metric", "weights", "k")] == [80.0, "euclidean", "distance", 3]
 
 
+@pytest.mark.parametrize("measure", [K.Metric(1), K.METRICS["chebyshev"], K.minkowski(3), K.minkowski(3, [1.0, 2.5] * 6), K.Metric(2, (1.0,) * 12)])
+def test_sums_in_single_precision_skip_pairs_and_keep_the_nearest(measure, monkeypatch):
+    monkeypatch.setattr(K, "_COLUMNS", 200)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 12)) * 30
+    x[100:400] = x[7]  # copies: equal distances
+    x[500] = x[8] + 1e-8
+    q, ids = x[:30], rng.permutation(3000)
+    sets = [np.arange(4), np.arange(12)]
+    near = K.near_pairs(measure if measure.weights is None else K.Metric(measure.p), q, x, 5, sets)
+    assert max(len(row) for row, _ in near) < 0.2 * 30 * 3000
+    row, col, dist = K.nearest_rows(measure, q, x, ids, 5)
+    exact = measure.distances(q, x)
+    for i in range(30):
+        order = np.lexsort((ids, exact[i]))[:5]
+        assert col[row == i].tolist() == order.tolist()
+        assert dist[row == i].tolist() == exact[i][order].tolist()
+    strange = x.copy()
+    strange[3, 2], strange[4, 1] = np.nan, np.inf
+    row, col, dist = K.nearest_rows(measure, q, strange, ids, 5)
+    assert np.isfinite(dist).all() and not {3, 4} & set(col.tolist())
+
+
+def test_neighbours_of_copies_stay_few(monkeypatch):
+    """A group of copies makes every pair as near as the k-th; a piece is cut before it is kept."""
+    kept = []
+    plain = K._first_k
+    monkeypatch.setattr(K, "_first_k", lambda row, *x: kept.append(len(row)) or plain(row, *x))
+    x = np.ones((20_000, 3))
+    row, col, _ = K.nearest_rows(K.Metric(1), x[:64], x, np.arange(20_000), 5)
+    assert col.tolist() == [0, 1, 2, 3, 4] * 64 and max(kept) <= 16 * 4_096
+    K.nearest_rows(K.Metric(2), x[:64], x, np.arange(20_000), 5)
+    assert max(kept) <= 64 * 4_096
+
+
 def test_bounds_skip_pairs_and_keep_the_nearest(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(500, 64))
