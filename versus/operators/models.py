@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
+# Rows of a task in a search: fits take hundreds of passes, so small tables must not be cut further.
+SEARCH_ROWS = 20_000
 HIDDEN_UNITS = 100
 
 
@@ -196,12 +198,13 @@ def search(
     """
     data = to_ml(folded, classes)
     n_folds = folded.agg(F.max("fold")).first()[0] + 1
+    tasks = max(1, -(-folded.count() // SEARCH_ROWS))
     prepared = Pipeline(stages=preparation())
     kept = ["y", "unit", "fold"]
     parts = []
     for fold in range(n_folds):
         ready = prepared.fit(data.where(F.col("fold") != fold)).transform(data).select(*kept)
-        parts.append(ready.persist())  # read by every setting; lost blocks are worked out again
+        parts.append(ready.coalesce(tasks).persist())  # read by every setting; lost blocks are worked out again
 
     def one(fold: int, name: str) -> tuple[str, np.ndarray]:
         model = settings[name].fit(parts[fold].where(F.col("fold") != fold))
@@ -245,7 +248,7 @@ def svc_settings(costs: tuple[float, ...], max_iter: int = 100) -> dict[str, Est
     """Linear SVCs, one against the rest, at each cost."""
     cols = {"featuresCol": "unit", "labelCol": "y"}
     return {
-        str(c): OneVsRest(classifier=LinearSVC(**cols, maxIter=max_iter, regParam=1.0 / c), **cols)
+        str(c): OneVsRest(classifier=LinearSVC(**cols, maxIter=max_iter, regParam=1.0 / c), parallelism=3, **cols)
         for c in costs
     }
 
