@@ -94,6 +94,23 @@ def test_tags_by_list_and_by_table_agree(spark, triples):
     assert built_in.where("id = 0").first()["h1_tags"] == ["DT", "NNS", "NN", ",", "CD", "."]
 
 
+def test_rows_of_an_id_share_tags_others_stay_in_their_row(spark, monkeypatch):
+    kind = "id bigint, h1 array<string>, h2 array<string>, ref array<string>"
+    rows = [(1, ["the", "x9", None], ["cat"], ["sits"]), (2, ["a", "b"], ["b~"], ["b"]), (2, ["c"], None, ["c~", "a"]),
+            (3, None, None, None), (None, ["the", "q"], ["q"], ["r"]), (4, ["z", "y", "z"], ["y"], ["zz", "za", None])]
+    df = spark.createDataFrame(rows, kind)
+    lexicon = materialize(spark.createDataFrame([("the", "DT"), ("x9", "ODD"), ("cat", None)], "token string, tag string"))
+
+    def found(out):
+        return sorted(map(str, out.collect()))
+
+    tags = L.with_lexicon_tags(df, lexicon, ["h1", "h2", "ref"])
+    assert found(tags) == found(L._joined_tags(df, lexicon, ["h1", "h2", "ref"]))
+    # rows of their own ids: no token leaves its row
+    monkeypatch.setattr(L, "_joined_tags", None)
+    assert L.with_lexicon_tags(df.where("id <> 2"), lexicon, ["h1"]).where("id = 1").first()["h1_tags"] == ["DT", "ODD", "NN"]
+
+
 def test_split_and_synonyms(spark, triples):
     df = triples([("big cat cat dog", "a large", "a large cat")])
     row = L.match_split(df).first()
