@@ -310,6 +310,24 @@ def test_knn_grid_selects_by_fold(spark):
                     assert [t_id for _, t_id in sorted(got[p, m, i])] == near
 
 
+def test_a_grid_task_returns_a_bounded_number_of_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist(), i % 3) for i in range(40)], SCHEMA)
+    folded = materialize(R.kfold(df, 4))
+    metrics = {"l2": K.Metric(2), "s": "seuclidean"}
+    want = sorted(map(str, K.grid_neighbours(folded, 4, [50, 100], metrics, 3).collect()))
+    blocks, in_blocks = [], K._in_blocks
+
+    def watched(queries, train, block, asked=None):
+        blocks.append(asked)
+        return in_blocks(queries, train, block, asked)
+
+    monkeypatch.setattr(K, "_in_blocks", watched)
+    monkeypatch.setattr(K, "RESULTS", 2 * 2 * 3 * 5)
+    assert sorted(map(str, K.grid_neighbours(folded, 4, [50, 100], metrics, 3).collect())) == want
+    assert blocks == [5] and len(want) == 2 * 2 * 3 * 40
+
+
 def test_stream_equals_batch(spark, data_dir):
     from versus.plans import registry
 
