@@ -56,3 +56,33 @@ def test_counts_of_parts_in_one_or_many_turns(spark, monkeypatch, turns):
     out = FQ.corpus_gram_counts(df, ["t"], flag=F.col("id") % 3 == 1).collect()
     assert {(r["n"], r["gram"]): (r["cnt"], r["n_flagged"]) for r in out} == {g: (want[g], flagged[g]) for g in want}
     assert len(out) == len(want)
+
+
+def test_a_block_sends_a_part_one_blob_of_distinct_windows(spark):
+    """No row per gram is shuffled, and equal windows of a block travel once."""
+    rows = [(i, ["the", "cat", "sat"], ["the", "cat"]) for i in range(200)]
+    flags = spark.createDataFrame(rows, "id bigint, h1 array<string>, h2 array<string>")
+    blocks, n_blocks = FQ._blocks(flags.withColumns({"asked": F.lit(True), "counted": F.lit(True)}), ["h1", "h2"])
+    sent = FQ._packed_requests(blocks, ["h1", "h2"], 2).collect()
+    assert len(sent) <= 2 * n_blocks
+    found, uses = Counter(), Counter()
+    for r in sent:
+        (sizes, k, _, _, cnt), data = P.unpack(r["blob"])
+        for gram, size, c in zip(P.strings(data, sizes.astype(int) - 1).to_pylist(), k.tolist(), cnt.tolist()):
+            found[r["block"], size, gram] += 1
+            uses[gram] += c
+    assert set(found.values()) == {1}
+    assert uses == {"the": 400, "cat": 400, "sat": 200, "the cat sat": 200, "cat sat": 200, "the cat": 200}
+
+
+@pytest.mark.parametrize("nulls", [False, True])
+def test_quartiles_of_parts_equal_those_of_the_counts(spark, nulls):
+    lists = [t for t in LISTS if t and (nulls or None not in t)]
+    df = spark.createDataFrame(list(enumerate(lists)), "id bigint, t array<string>")
+    freq = FQ.corpus_gram_counts(df, ["t"]).withColumn("bucket", FQ._bucket())
+    cuts = FQ.quartile_cuts(freq, FQ.bucket_sizes(freq))
+    rows = FQ._placed(freq, cuts).collect()
+    n, cnt = (np.array([r[c] for r in rows]) for c in ("n", "cnt"))
+    at = {r["n"]: FQ._bounds(r.asDict()) for r in cuts.collect()}
+    got = FQ._quartiles(n, pa.array([r["gram"] for r in rows], "large_string"), cnt, at)
+    assert got.tolist() == [r["quartile"] for r in rows] and len(set(got.tolist())) == 4
